@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, tiff, vafile
+from . import bpe, minhash, tiff, vafile, warc
 from .common import small_batches
 
 
@@ -44,6 +44,20 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back through the chunked record table."""
+    small_batches(spark)
+    typed = warc.with_record_types(_table(spark, sf_dir, "pages"), "page_id", "html", "url")
+    back = warc.records(warc.read_chunks(warc.write_archives(typed)))
+    return back.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on shingles of four words."""
+    small_batches(spark)
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op7_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as a one-page TIFF and read back, with features of the page."""
     small_batches(spark)
@@ -51,6 +65,18 @@ def op7_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.with_features(tiff.pages(media)).withColumnRenamed("id", "doc_id").drop("page")
 
 
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keeper, upper(sha1(h)) AS hex FROM p),
+bits AS (SELECT *, list_aggregate(list_transform(range(1, 41), lambda i: lpad(bin(strpos('0123456789ABCDEF', hex[i]) - 1), 4, '0')), 'string_agg', '') AS b FROM k)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda j:
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + CAST(list_sum(list_transform(range(1, 6), lambda i: CAST(b[5 * j + i] AS INTEGER) * CAST(pow(2, 5 - i) AS INTEGER))) AS INTEGER)]), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM bits
+"""
+
 OP1_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -67,8 +93,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_top_k": op1_top_k, "op3_bpe": op3_bpe, "op7_tiff": op7_tiff}
+    return {"op1_top_k": op1_top_k, "op3_bpe": op3_bpe, "op4_warc": op4_warc, "op6_minhash": op6_minhash, "op7_tiff": op7_tiff}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": OP1_SQL}
+    return {"op1_top_k": OP1_SQL, "op4_warc": OP4_SQL}
