@@ -29,8 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from .common import staged
+
 #: Words that a worker keeps with their ids; it starts anew when they are more.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 450_000
 
 # White space as the tokenizers library's patterns take it, and the two split patterns of the public vocabularies.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -301,13 +303,23 @@ def word_counts(df: DataFrame, text_col: str, path: str) -> DataFrame:
 
 
 def lexicon_file(df: DataFrame, text_col: str, path: str, size: int = 50_000, max_bytes: int = 64) -> str:
-    """Build the lexicon of the ``size`` most frequent words and give it to the executors.
+    """Build the lexicon of up to ``size`` most frequent words and give it to the executors.
 
-    Words longer than ``max_bytes`` are left to exact merging. Returns the name
-    under which the workers find the file.
+    The least count that a word needs is read off a histogram of the counts, so the
+    driver gets no more than ``size`` words whatever the corpus; words of the class of
+    counts that would exceed it, and words longer than ``max_bytes``, are left to exact
+    merging. Returns the name under which the workers find the file.
     """
     m = merger(path)
-    top = word_counts(df, text_col, path).where(F.octet_length("word") <= max_bytes).orderBy(F.desc("n"), "word").limit(size).collect()
+    step = F.floor(F.log2("n") * 8)
+    counts = staged(word_counts(df, text_col, path).where(F.octet_length("word") <= max_bytes).withColumn("step", step), "word-counts")
+    least, held = None, 0
+    for row in counts.groupBy("step").count().orderBy(F.desc("step")).collect():
+        held += row["count"]
+        if held > size:
+            break
+        least = row["step"]
+    top = counts.where(F.col("step") >= least).collect() if least is not None else []
     blob = build_lexicon({r["word"].encode(): m.merge(r["word"]) for r in top})
     fd, name = tempfile.mkstemp(suffix=".lexicon")
     with os.fdopen(fd, "wb") as f:
@@ -321,11 +333,8 @@ def _encoder(path: str, lexicon: str | None) -> Encoder:
     return Encoder(merger(path), Lexicon(SparkFiles.get(lexicon)) if lexicon else None)
 
 
-def encode(df: DataFrame, id_col: str, text_col: str, path: str, lexicon: str | None = None) -> DataFrame:
-    """``id, ids``: the little-endian 32-bit ids of each text, special tokens as the library takes them.
-
-    A null text is empty and has no ids; every input row gives one row.
-    """
+def encoding(path: str, lexicon: str | None = None):
+    """A step over Arrow batches whose columns are an id and a text: it returns ``id, ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(path, lexicon)
@@ -334,18 +343,40 @@ def encode(df: DataFrame, id_col: str, text_col: str, path: str, lexicon: str |
             for lo, hi in _chunks(texts):
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(enc.encode(texts[lo:hi]), pa.binary())], ["id", "ids"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, ids binary")
+    return run
 
 
-def decode(df: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
-    """Adds ``text``: the decoded ids; null ids give a null text."""
-    fields = [f for f in df.schema.fields if f.name != "text"]
+def decoding(path: str, lexicon: str | None = None):
+    """A step over Arrow batches with a column ``ids``: it adds ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(path, None)
+        enc = _encoder(path, lexicon)
         for b in batches:
-            texts = [None if x is None else enc.decode(x) for x in b.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in fields), pa.array(texts, pa.string())], [*(f.name for f in fields), "text"])
+            texts = [None if x is None else enc.decode(x) for x in b.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "text"])
+
+    return run
+
+
+def _inputs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+
+
+def encode(df: DataFrame, id_col: str, text_col: str, path: str, lexicon: str | None = None) -> DataFrame:
+    """``id, ids``: the little-endian 32-bit ids of each text, special tokens as the library takes them.
+
+    A null text is empty and has no ids; every input row gives one row, and columns
+    other than the two named ones are dropped.
+    """
+    return _inputs(df, id_col, text_col).mapInArrow(encoding(path, lexicon), "id long, ids binary")
+
+
+def decode(df: DataFrame, path: str) -> DataFrame:
+    """Adds ``text`` to rows ``id, ids``: the decoded ids; null ids give a null text."""
+    return df.select("id", "ids").mapInArrow(decoding(path), "id long, ids binary, text string")
+
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return df.select(*(f.name for f in fields)).mapInArrow(run, f"{kinds}, text string")
+def encode_and_decode(df: DataFrame, id_col: str, text_col: str, path: str, lexicon: str | None, then, schema: str) -> DataFrame:
+    """Encode, decode and apply ``then`` to batches ``id, ids, text``, all in one Python worker."""
+    first, second = encoding(path, lexicon), decoding(path, lexicon)
+    return _inputs(df, id_col, text_col).mapInArrow(lambda batches: then(second(first(batches))), schema)
