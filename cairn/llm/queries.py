@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, tiff, vafile, warc
+from . import bpe, minhash, packing, pii, quality, suffix, tiff, vafile, warc
 from .common import small_batches
 
 
@@ -25,13 +25,20 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.with_spans(docs, pii.fit(docs))
+    counts = [F.size(F.filter("pii_base", lambda c, k=k: c["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("pii_base")), 256).alias("base_sha256"), pii.joined(F.col("pii_spans")).alias("spans"))
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     small_batches(spark)
     docs = _table(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_50k.json")
     lexicon = bpe.lexicon_file(docs, "text", path)
-    decoded = bpe.decode(bpe.encode(docs, "doc_id", "text", path, lexicon), path)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -41,7 +48,7 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return decoded.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return bpe.encode_and_decode(docs, "doc_id", "text", path, lexicon, digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +59,12 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of strings of 400 bytes that occur again."""
+    small_batches(spark)
+    return suffix.without_repeats(_table(spark, sf_dir, "documents"), length=400).drop("kept")
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on shingles of four words."""
     small_batches(spark)
@@ -65,6 +78,20 @@ def op7_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.with_features(tiff.pages(media)).withColumnRenamed("id", "doc_id").drop("page")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces packed into sequences of at most 2048 tokens."""
+    small_batches(spark)
+    return packing.pack(packing.pieces(_table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), 2048), 2048)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned from the labels outside the held-out part."""
+    small_batches(spark)
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model, keep=["doc_id"]).select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 k AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keeper, upper(sha1(h)) AS hex FROM p),
@@ -93,7 +120,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_top_k": op1_top_k, "op3_bpe": op3_bpe, "op4_warc": op4_warc, "op6_minhash": op6_minhash, "op7_tiff": op7_tiff}
+    return {"op1_top_k": op1_top_k, "op2_pii": op2_pii, "op3_bpe": op3_bpe, "op4_warc": op4_warc, "op5_repeats": op5_repeats, "op6_minhash": op6_minhash, "op7_tiff": op7_tiff, "op9_packing": op9_packing, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:
