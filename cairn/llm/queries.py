@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, minhash, packing, pii, quality, suffix, tiff, vafile, warc
+from . import bpe, lines, minhash, packing, pii, quality, suffix, tiff, vafile, warc
 from .common import small_batches
 
 
@@ -78,6 +78,13 @@ def op7_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.with_features(tiff.pages(media)).withColumnRenamed("id", "doc_id").drop("page")
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines that are similar to an earlier line of the corpus, as digests."""
+    found = lines.without_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.coalesce("text", F.lit(""))
+    return found.select("doc_id", "n_lines_removed", F.length(text).cast("long").alias("n_chars"), F.sha2(text, 256).alias("kept_sha256"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces packed into sequences of at most 2048 tokens."""
     small_batches(spark)
@@ -120,7 +127,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_top_k": op1_top_k, "op2_pii": op2_pii, "op3_bpe": op3_bpe, "op4_warc": op4_warc, "op5_repeats": op5_repeats, "op6_minhash": op6_minhash, "op7_tiff": op7_tiff, "op9_packing": op9_packing, "op10_quality": op10_quality}
+    return {"op1_top_k": op1_top_k, "op2_pii": op2_pii, "op3_bpe": op3_bpe, "op4_warc": op4_warc, "op5_repeats": op5_repeats, "op6_minhash": op6_minhash, "op7_tiff": op7_tiff, "op8_lines": op8_lines, "op9_packing": op9_packing, "op10_quality": op10_quality}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,16 +1,66 @@
-"""A corpus from raw documents to packed sequences, stage by stage."""
+"""A corpus from raw documents to packed sequences, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written and read
+again before the next stage. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cairn.llm import lines, minhash, packing, pii, quality
+from cairn.llm.common import small_batches, staged
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _documents(df: DataFrame) -> DataFrame:
+    """The columns of documents, with the length of the text as it is now."""
+    return df.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is below 0.7 go."""
+    small_batches(spark)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.scored(docs, model, keep=COLUMNS).where("score >= 0.7").select(*COLUMNS)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of similar lines the first in the corpus stays; documents keep their other lines."""
+    return _documents(lines.without_repeated_lines(docs.select(*COLUMNS)))
+
+
+def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of near-duplicate documents (five words, similarity 0.8) the one with the smallest id stays."""
+    small_batches(spark)
+    kept = minhash.near_duplicates(docs, words=5, percent=80).where("NOT kept").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in texts is replaced by its kind in brackets."""
+    found = pii.with_spans(docs, pii.fit(docs))
+    return _documents(found.withColumn("text", pii.redacted(F.col("text"), F.col("pii_spans"))))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces and their places in sequences of 2048 tokens."""
+    small_batches(spark)
+    return packing.pack(packing.pieces(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), 2048), 2048)
+
+
+STAGES = [("quality", classify), ("lines", dedup_lines), ("near-duplicates", dedup_documents), ("pii", redact), ("packing", pack)]
 
-STAGES: list = []
+#: The stages learn models and pack sequences, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
