@@ -1,0 +1 @@
+"""Batch analytics on event records as Spark DataFrames."""
