@@ -3,7 +3,9 @@
 Each round replaces links by links to the smallest neighbour ("large star" and
 "small star"), which keeps the components and shortens every path; it ends when
 each node is linked to the smallest node of its component only. Nothing but two
-sums per round reaches the driver.
+sums per round reaches the driver. The least neighbours are written before they are
+joined, so that both sides of the join are plain exchanges and Spark can split the
+partition of a node with very many links.
 """
 
 from __future__ import annotations
@@ -16,13 +18,13 @@ from .common import staged
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = staged(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = down.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
     return moved.select("x.a", "x.b").where("a <> b").distinct()
 

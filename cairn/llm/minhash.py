@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from .common import staged
 from .graph import components
 
-BLOCK = 256
+#: Sets and hashes of a block, on average.
+BLOCK, BLOCK_HASHES = 1024, 1 << 20
 CACHE_WORDS = 500_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _NO_ID = -(1 << 63)
@@ -165,8 +166,8 @@ def _links_of(left: list, right: list | None, percent: int) -> list[tuple[int, i
         kept, n = np.unique(hl, return_counts=True)
         common = kept[n > 1]
     both = np.zeros((len(left), len(others)), np.float32)
-    for at in range(0, len(common), 16384):
-        part = common[at : at + 16384]
+    for at in range(0, len(common), 4096):
+        part = common[at : at + 4096]
 
         def matrix(h: np.ndarray, i: np.ndarray, n: int) -> np.ndarray:
             k = np.minimum(np.searchsorted(part, h), len(part) - 1)  # noqa: B023
@@ -238,9 +239,13 @@ def _block_of(n: str) -> F.Column:
     return F.pmod(F.xxhash64("node", F.lit(11)), F.col(n)).cast("int")
 
 
+def _blocks() -> F.Column:
+    return F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.octet_length("hashes")) / (8 * BLOCK_HASHES))).cast("int")
+
+
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links among ``sets`` (family, node, hashes) that give the families' exact components."""
-    size = sets.groupBy("family").agg(F.count(F.lit(1)).alias("m")).select("family", F.ceil(F.col("m") / (0.8 * BLOCK)).cast("int").alias("nb"))
+    size = sets.groupBy("family").agg(_blocks().alias("nb"))
     sets = staged(sets.join(size, "family").withColumn("k", _block_of("nb")), "sets")
     j = F.when(F.col("k") == 0, F.sequence(F.lit(0), F.col("nb") - 1)).otherwise(F.array("k"))
     first = sets.select("*", F.explode(j).alias("j")).select("family", F.lit(0).alias("i"), "j", F.lit(False).alias("two"), F.when((F.col("k") == 0), 0).otherwise(1).alias("side"), "node", "hashes")
@@ -250,8 +255,10 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     comp = components(found)
     large = sets.where("nb > 1").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     counts = large.groupBy("family", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = counts.groupBy("family").agg(F.max(F.struct("c", "component")).alias("x"), F.sum("c").alias("m")).select("family", F.col("x.component").alias("main"), F.ceil((F.col("m") - F.col("x.c")) / (0.8 * BLOCK)).cast("int").alias("nu")).where("nu > 0")
-    rest = staged(large.join(main, "family"), "rest")
+    main = counts.groupBy("family").agg(F.max(F.struct("c", "component"))["component"].alias("main"))
+    large = large.join(main, "family")
+    outside = large.where("component <> main").groupBy("family").agg(_blocks().alias("nu"))
+    rest = staged(large.join(outside, "family"), "rest")
     left = rest.where("component <> main").select("family", _block_of("nu").alias("i"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("j"), F.lit(True).alias("two"), F.lit(0).alias("side"), "node", "hashes")
     right = rest.select("family", F.explode(F.sequence(F.lit(0), F.col("nu") - 1)).alias("i"), F.col("k").alias("j"), F.lit(True).alias("two"), F.lit(1).alias("side"), "node", "hashes")
     return found.unionByName(staged(_confirmed(left.unionByName(right), percent), "links"))
