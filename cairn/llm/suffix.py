@@ -59,9 +59,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Segment:
     """Anchors, spans and names of one stretch of bytes."""
 
-    def __init__(self, data: np.ndarray, length: int, gram: int) -> None:
+    def __init__(self, data: np.ndarray, length: int, gram: int, segment: int) -> None:
         self.n, self.length, self.gram = len(data), length, gram
-        up, self.down, value = _powers(SEGMENT + 2 * length + 2)
+        up, self.down, value = _powers(segment + 2 * length + 2)
         self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value[data] * up[: self.n])])
         grams = np.arange(self.n - gram + 1)
         key = (self.names(grams, grams + gram) & ~_POS) | (_POS - grams.astype(np.uint64))
@@ -102,10 +102,10 @@ class Segment:
         return over(repeated[k:], 0), p[todo]
 
 
-def _segments(raw: bytes, length: int, gram: int) -> Iterator[tuple[int, Segment]]:
+def _segments(raw: bytes, length: int, gram: int, segment: int) -> Iterator[tuple[int, Segment]]:
     data = np.frombuffer(raw, np.uint8)
-    for at in range(0, len(data) - length + 1, SEGMENT):
-        yield at, Segment(data[at : at + SEGMENT + length - 1], length, gram)
+    for at in range(0, len(data) - length + 1, segment):
+        yield at, Segment(data[at : at + segment + length - 1], length, gram, segment)
 
 
 def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -121,7 +121,7 @@ def _repeated(lists: DataFrame, column: str) -> DataFrame:
     return each.join(again, "name").groupBy("rid", "th").agg(F.collect_list(F.col("i") * 2 + (here == F.col("one")).cast("int")).alias("hits"))
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = GRAM) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = GRAM, segment: int = SEGMENT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and ``kept`` (the bytes that stay where any go).
 
     A byte goes if it lies in a string of ``length`` bytes that also starts anywhere
@@ -135,7 +135,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names = [np.concatenate([s.samples() for _, s in _segments(raw.as_py(), length, gram)]).view(np.int64) for raw in b.column("raw")]
+            names = [np.concatenate([s.samples() for _, s in _segments(raw.as_py(), length, gram, segment)]).view(np.int64) for raw in b.column("raw")]
             yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("th"), _lists(names, pa.int64())], ["rid", "th", "names"])
 
     samples = staged(long_.mapInArrow(sample, "rid long, th long, names array<long>"), "samples")
@@ -150,7 +150,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 flags = np.zeros((2, int(own.max()) // 2 + 1), bool)
                 flags[0, own // 2] = True
                 flags[1, own[own % 2 == 1] // 2] = True
-                for base, s in _segments(raw, length, gram):
+                for base, s in _segments(raw, length, gram, segment):
                     k = len(s.anchors) + len(s.starts)
                     mine = np.zeros((2, k), bool)
                     part = flags[:, at : at + k]
