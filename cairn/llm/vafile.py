@@ -41,10 +41,6 @@ def quantised(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     )
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int64).reshape(-1, dim)
-
-
 def _packer(block: int):
     """Pack vectors of one length into rows ``dim, ids, vectors`` of at most ``block``."""
 
@@ -90,8 +86,8 @@ def _search(k: int, bits: int):
             for i in range(b.num_rows):
                 dim = b.column("dim")[i].as_py()
                 get = lambda name: np.frombuffer(b.column(name)[i].as_buffer(), np.int64)  # noqa: B023, E731
-                ids, v = get("ids"), get("vecs").reshape(-1, dim)
-                qids, q = get("q_ids"), get("q_vecs").reshape(-1, dim)
+                ids, qids = get("ids"), get("q_ids")
+                v, q = get("vecs").reshape(len(ids), dim), get("q_vecs").reshape(len(qids), dim)
                 yield _block(ids, v, qids, q, k, bits)
 
     return search
