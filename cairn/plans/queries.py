@@ -517,6 +517,72 @@ def kpi_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return measures.measure("comparaison_commune")({"fact": records(spark, sf)})
 
 
+def _together(model_: dict[str, DataFrame], names: tuple[str, ...], by: list[str]) -> DataFrame:
+    """Several measures over the same groups, side by side."""
+    out = None
+    for name in names:
+        one = measures.measure(name)(model_, by)
+        out = one if out is None else (out.join(one, by) if by else out.crossJoin(one))
+    return out
+
+
+@_query(
+    "measures_of_months",
+    f"""WITH {_MONTHLY} SELECT annee, CAST(sum(nb_deces) AS BIGINT) AS deces_mensuel, CAST(sum(variation_vs_n_1) AS BIGINT) AS variation_absolue, round(avg(indice_saisonnalite), 3) AS saisonnalite_moyenne,
+    max(indice_saisonnalite) AS saisonnalite_max, max(z_score) AS z_max, count(*) FILTER (anomalie_flag) AS mois_anomalie, CAST(sum(nb_deces) FILTER (abs(z_score) > 2) AS BIGINT) AS deces_seuil_z FROM monthly GROUP BY annee""",
+)
+def measures_of_months(spark: SparkSession, sf: str) -> DataFrame:
+    return _together({"by_month": gold.by_month(records(spark, sf), LIMITS)}, ("deces_mensuel", "variation_absolue", "saisonnalite_moyenne", "saisonnalite_max", "z_max", "mois_anomalie", "deces_seuil_z"), ["annee"])
+
+
+@_query(
+    "measures_of_places",
+    f"""WITH {_PLACE} SELECT round(avg(taux_mortalite), 4) AS taux_mortalite_moyen, round(avg(densite_deces), 4) AS densite_moyenne, round(avg(indice_vieillissement), 2) AS vieillissement_moyen, round(sum(nb_deces) * 1000 / sum(population_commune), 4) AS taux_pour_mille,
+    count(DISTINCT id_commune) FILTER (anomalie_mortalite) AS communes_anomalie, round(count(*) FILTER (anomalie_mortalite) / count(*), 4) AS pct_communes_anomalie FROM place""",
+)
+def measures_of_places(spark: SparkSession, sf: str) -> DataFrame:
+    return _together({"by_place": place_metrics(spark, sf)}, ("taux_mortalite_moyen", "densite_moyenne", "vieillissement_moyen", "taux_pour_mille", "communes_anomalie", "pct_communes_anomalie"), [])
+
+
+@_query("expected_deaths", f"WITH {_PLACE}, t AS (SELECT sum(nb_deces) / sum(population_commune) AS r FROM place) SELECT id_commune, round(r * population_commune, 2) AS deces_attendus FROM place, t")
+def expected_deaths(spark: SparkSession, sf: str) -> DataFrame:
+    return measures.measure("deces_attendus")({"by_place": place_metrics(spark, sf)})
+
+
+@_query(
+    "measures_of_cohorts",
+    ORACLE["cohort_metrics"].replace("SELECT id_date, id_date ||", ", co AS (SELECT id_date, id_date ||", 1) + """) SELECT annee_naissance, CAST(sum(nb_centenaires) AS BIGINT) AS centenaires_generation, max(age_max) AS longevite_max, round(avg(age_moyen_deces), 2) AS longevite_moyenne, round(avg(indice_vieillissement), 2) AS vieillissement_generation,
+    max(annee_deces_max) - min(annee_deces_min) AS periode_active, CASE WHEN max(tendance_mortalite) >= 100 THEN '↑' WHEN max(tendance_mortalite) <= 0 THEN '↓' ELSE '→' END AS tendance, count(*) FILTER (anomalie_generation) AS anomalies_generation FROM co GROUP BY 1""",
+)
+def measures_of_cohorts(spark: SparkSession, sf: str) -> DataFrame:
+    return _together({"by_cohort": cohort_metrics(spark, sf)}, ("centenaires_generation", "longevite_max", "longevite_moyenne", "vieillissement_generation", "periode_active", "tendance", "anomalies_generation"), ["annee_naissance"])
+
+
+@_query(
+    "measures_by_sex_share",
+    f"""WITH {_R} SELECT annee AS annee_deces, count(*) FILTER (sexe = 'M') AS total_hommes, count(*) FILTER (sexe = 'F') AS total_femmes, round(count(*) FILTER (sexe = 'M') / count(*), 4) AS pct_hommes, round(count(*) FILTER (sexe = 'M') / nullif(count(*) FILTER (sexe = 'F'), 0), 4) AS ratio_h_f,
+    round(avg(age) FILTER (sexe = 'F'), 2) AS age_moyen_femmes, round(avg(age) FILTER (sexe = 'M'), 2) AS age_moyen_hommes, count(*) FILTER (age BETWEEN 5 AND 14) AS nb_5_14, count(*) FILTER (age BETWEEN 15 AND 17) AS nb_15_17, count(*) FILTER (age BETWEEN 1 AND 4) AS nb_1_4,
+    round(count(*) FILTER (age <= 17 AND sexe = 'M') / nullif(count(*) FILTER (age <= 17), 0), 4) AS pct_garcons_mineurs FROM r GROUP BY 1""",
+)
+def measures_by_sex_share(spark: SparkSession, sf: str) -> DataFrame:
+    return _together({"fact": records(spark, sf)}, ("total_hommes", "total_femmes", "pct_hommes", "ratio_h_f", "age_moyen_femmes", "age_moyen_hommes", "nb_5_14", "nb_15_17", "nb_1_4", "pct_garcons_mineurs"), ["annee_deces"])
+
+
+@_query("measure_excess_of_year", f"WITH {_R} SELECT sexe, round((count(*) FILTER (annee = 1999) - count(*) FILTER (annee BETWEEN 1996 AND 1998) / 3) * 100 / nullif(count(*) FILTER (annee BETWEEN 1996 AND 1998) / 3, 0), 2) AS surmortalite_annee FROM r GROUP BY 1")
+def measure_excess_of_year(spark: SparkSession, sf: str) -> DataFrame:
+    return measures.measure("surmortalite_annee")({"fact": records(spark, sf)}, ["sexe"], year=1999, years=3)
+
+
+@_query("measure_window_change", f"WITH {_R}, k AS (SELECT sexe, count(*) FILTER (annee BETWEEN 1998 AND 1999) AS now, count(*) FILTER (annee BETWEEN 1996 AND 1997) AS before FROM r WHERE age >= 40 GROUP BY 1) SELECT *, round((now - before) * 100 / nullif(before, 0), 2) AS evolution_fenetre FROM k")
+def measure_window_change(spark: SparkSession, sf: str) -> DataFrame:
+    return measures.measure("evolution_fenetre")({"fact": records(spark, sf)}, ["sexe"], first=1998, last=1999, least=40)
+
+
+@_query("measure_age_change", f"WITH {_R}, k AS (SELECT annee AS annee_deces, avg(age) AS m FROM r WHERE age >= 20 GROUP BY 1) SELECT annee_deces, round(m - (SELECT m FROM k ORDER BY annee_deces LIMIT 1), 2) AS evolution_age FROM k")
+def measure_age_change(spark: SparkSession, sf: str) -> DataFrame:
+    return measures.measure("evolution_age")({"fact": records(spark, sf)}, least=20)
+
+
 @_query("all_measures")
 def all_measures(spark: SparkSession, sf: str) -> DataFrame:
     """Rows that each measure returns over the whole model."""
