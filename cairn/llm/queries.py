@@ -88,7 +88,8 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces packed into sequences of at most 2048 tokens."""
     small_batches(spark)
-    return packing.pack(packing.pieces(_table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), 2048), 2048)
+    packed = packing.pack(packing.pieces(_table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), 2048), 2048)
+    return packed.withColumns({c: F.col(c).cast("long") for c in ("length", "offset")})
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
