@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, lines, minhash, packing, pii, quality, suffix, tiff, vafile, warc
@@ -29,8 +29,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.with_spans(docs, pii.fit(docs))
-    counts = [F.size(F.filter("pii_base", lambda c, k=k: c["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
-    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("pii_base")), 256).alias("base_sha256"), pii.joined(F.col("pii_spans")).alias("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("pii_base", lambda c: c["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *(count(k) for k in pii.BASE), F.sha2(pii.joined(F.col("pii_base")), 256).alias("base_sha256"), pii.joined(F.col("pii_spans")).alias("spans"))
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
