@@ -121,7 +121,7 @@ def test_lines(spark):
                 line[r.randrange(len(line))] = word()
             own.append(" ".join(line))
         rows.append((i, "\n".join(own) + ("\n\n" if i % 5 == 0 else "")))
-    rows += [(90, None), (91, ""), (92, "\n"), (93, "Short."), (94, " short. \nother"), (94, " short. \nother"), (95, "z" * 5000)]
+    rows += [(90, None), (91, ""), (92, "\n"), (93, "Short."), (94, " short. \nother"), (94, " short. \nother"), (95, "z" * 5000), (96, "abcdefghij" + "k" * 50), (97, "abcdefghij" + "lmn" * 20)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_lines_removed", F.lit("clash")).withColumn("doc", F.lit(1))
     got = {x.doc_id: (x.text, x.n_lines_removed) for x in lines.without_repeated_lines(df).collect()}
     g, places = Groups(), []
@@ -130,7 +130,7 @@ def test_lines(spark):
             norm = line.strip(" ").lower()
             if norm:
                 places.append((i, k, norm))
-    sets = {n: {n[m.start() : m.start() + 10] for m in re.finditer(r"(?<![^ ])[^ ]", n)} for _, _, n in places}
+    sets = {n: {n[m.start() : m.start() + 10] for m in re.finditer("[^ ]{1,10}", n)} for _, _, n in places}
     names = list(sets)
     for a in range(len(names)):
         g.root(names[a])
