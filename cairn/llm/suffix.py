@@ -56,13 +56,23 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down), np.random.default_rng(5).integers(1, 1 << 63, 256, np.uint64)
 
 
-class Segment:
+class Names:
+    """Names of the strings within one stretch of bytes."""
+
+    def __init__(self, data: np.ndarray, most: int) -> None:
+        up, self.down, value = _powers(most)
+        self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value[data] * up[: len(data)])])
+
+    def names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return _mix((self.prefix[end] - self.prefix[start]) * self.down[start] + (end - start).astype(np.uint64))
+
+
+class Segment(Names):
     """Anchors, spans and names of one stretch of bytes."""
 
     def __init__(self, data: np.ndarray, length: int, gram: int, segment: int) -> None:
+        super().__init__(data, segment + length)
         self.n, self.length, self.gram = len(data), length, gram
-        up, self.down, value = _powers(segment + 2 * length + 2)
-        self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value[data] * up[: self.n])])
         grams = np.arange(self.n - gram + 1)
         key = (self.names(grams, grams + gram) & ~_POS) | (_POS - grams.astype(np.uint64))
         w, cur = length - gram + 1, 1
@@ -79,15 +89,15 @@ class Segment:
         reach = np.append(self.starts[1:], self.n - length + 1) - 1 + length
         self.ends = stops[np.searchsorted(stops, reach)]
 
-    def names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mix((self.prefix[end] - self.prefix[start]) * self.down[start] + (end - start).astype(np.uint64))
-
     def samples(self) -> np.ndarray:
         """Names of the anchors, then of the spans."""
         return np.concatenate([self.names(self.anchors, self.anchors + self.gram), self.names(self.starts, self.ends)])
 
-    def decide(self, repeated: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Covered bytes, and the windows still to be named, given which samples repeat and which are the first of their name."""
+    def decide(self, repeated: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Covered bytes, and the windows to be named, given which samples repeat and which are the first of their name.
+
+        Windows that reach a byte not yet covered come first; the others are only there to be found.
+        """
         k = len(self.anchors)
 
         def over(own: np.ndarray, short: int) -> np.ndarray:
@@ -99,7 +109,10 @@ class Segment:
         p = np.arange(self.n - self.length + 1)
         slot = np.searchsorted(self.starts, p, side="right") - 1
         todo = (~repeated[k:][slot] & repeated[self.owner]) | over(repeated[k:] & first[k:], self.length - 1)[: len(p)]
-        return over(repeated[k:], 0), p[todo]
+        covered = over(repeated[k:], 0)
+        open_ = np.concatenate([[0], np.cumsum(~covered)])
+        reach = open_[p + self.length] > open_[p]
+        return covered, p[todo & reach], p[todo & ~reach]
 
 
 def _segments(raw: bytes, length: int, gram: int, segment: int) -> Iterator[tuple[int, Segment]]:
@@ -108,17 +121,33 @@ def _segments(raw: bytes, length: int, gram: int, segment: int) -> Iterator[tupl
         yield at, Segment(data[at : at + segment + length - 1], length, gram, segment)
 
 
+_RUNS = [f"{k}_{e}" for k in ("covered", "wanted", "seen") for e in ("from", "to")]
+
+
+def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of a mask."""
+    edge = np.diff(np.concatenate([[0], mask.view(np.int8), [0]]))
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def _positions(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All places within runs, in order."""
+    n = end - start
+    return np.repeat(start - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+
+
 def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64), kind))
 
 
-def _repeated(lists: DataFrame, column: str) -> DataFrame:
-    """``rid, th, hits``: of the values in the lists of ``column`` that occur again anywhere, twice the place, plus 1 for a value's first occurrence."""
-    each = lists.select("rid", "th", F.posexplode(column).alias("i", "name"))
-    here = F.struct("rid", "th", "i")
-    again = staged(each.groupBy("name").agg(F.count(F.lit(1)).alias("c"), F.min(here).alias("one")).where("c > 1").select("name", "one"), "names")
-    return each.join(again, "name").groupBy("rid", "th").agg(F.collect_list(F.col("i") * 2 + (here == F.col("one")).cast("int")).alias("hits"))
+#: Up to so many texts with repeated samples, others are set aside before texts are shuffled.
+KEYS_TO_BROADCAST = 2_000_000
+
+
+def _again(each: DataFrame, *more: F.Column) -> DataFrame:
+    """The names that occur more than once, with more aggregates."""
+    return staged(each.groupBy("name").agg(F.count(F.lit(1)).alias("c"), *more).where("c > 1").drop("c"), "names")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = GRAM, segment: int = SEGMENT) -> DataFrame:
@@ -139,14 +168,18 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("th"), _lists(names, pa.int64())], ["rid", "th", "names"])
 
     samples = staged(long_.mapInArrow(sample, "rid long, th long, names array<long>"), "samples")
-    hits = staged(_repeated(samples, "names"), "repeated-samples")
+    each = samples.select("rid", "th", F.posexplode("names").alias("i", "name")).withColumn("tag", F.xxhash64("rid", "th", "i"))
+    again = _again(each, F.min("tag").alias("first"))
+    # of each repeated sample twice its place, plus 1 where it is the first occurrence of its name
+    hits = staged(each.join(again, "name").groupBy("rid", "th").agg(F.collect_list(F.col("i") * 2 + (F.col("tag") == F.col("first")).cast("int")).alias("hits")), "repeated-samples")
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            starts, ends, windows, names = [], [], [], []
+            out: tuple[list, ...] = ([], [], [], [], [], [])
             for raw, own in zip(b.column("raw"), b.column("hits"), strict=True):
                 raw, own = raw.as_py(), np.asarray(own.values)
-                covered, w, n, at = np.zeros(len(raw), bool), [], [], 0
+                covered, wanted, seen = (np.zeros(len(raw), bool) for _ in range(3))
+                at = 0
                 flags = np.zeros((2, int(own.max()) // 2 + 1), bool)
                 flags[0, own // 2] = True
                 flags[1, own[own % 2 == 1] // 2] = True
@@ -156,32 +189,52 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     part = flags[:, at : at + k]
                     mine[:, : part.shape[1]] = part
                     at += k
-                    c, p = s.decide(*mine)
+                    c, p, other = s.decide(*mine)
                     covered[base : base + s.n] |= c
-                    w.append(p + base)
-                    n.append(s.names(p, p + length).view(np.int64))
-                edge = np.diff(np.concatenate([[0], covered.view(np.int8), [0]]))
-                starts.append(np.flatnonzero(edge == 1))
-                ends.append(np.flatnonzero(edge == -1))
-                windows.append(np.concatenate(w))
-                names.append(np.concatenate(n))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rid", "th", "raw")), *(_lists(x, pa.int64()) for x in (starts, ends, windows, names))], ["rid", "th", "raw", "starts", "ends", "windows", "names"])
+                    wanted[p + base] = True
+                    seen[other + base] = True
+                for k, mask in enumerate((covered, wanted, seen)):
+                    for held, runs in zip(out[2 * k : 2 * k + 2], _runs(mask), strict=True):
+                        held.append(runs)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rid", "th", "raw")), *(_lists(x, pa.int64()) for x in out)], ["rid", "th", "raw", *_RUNS])
+
+    def named(kinds: tuple[str, ...]):
+        """The names of the windows of these kinds, in order, made anew from the text rather than kept."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                names = []
+                for row in zip(b.column("raw"), *(b.column(f"{k}_{e}") for k in kinds for e in ("from", "to")), strict=True):
+                    data, ends = np.frombuffer(row[0].as_py(), np.uint8), [np.asarray(x.values) for x in row[1:]]
+                    p = np.concatenate([_positions(*ends[2 * k : 2 * k + 2]) for k in range(len(kinds))])
+                    own = np.zeros(len(p), np.uint64)
+                    for base in range(0, len(data) - length + 1, segment):
+                        here = np.flatnonzero((p >= base) & (p < base + segment))
+                        if len(here):
+                            own[here] = Names(data[base : base + segment + length - 1], segment + length).names(p[here] - base, p[here] - base + length)
+                    names.append(own.view(np.int64))
+                yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("th"), _lists(names, pa.int64())], ["rid", "th", "names"])
+
+        return decided.select("rid", "th", "raw", *(f"{k}_{e}" for k in kinds for e in ("from", "to"))).mapInArrow(run, "rid long, th long, names array<long>")
 
     # one row per different (id, text); equal rows share their result
+    if hits.count() <= KEYS_TO_BROADCAST:
+        long_ = long_.join(F.broadcast(hits.select("rid", "th")), ["rid", "th"], "left_semi")
     once = long_.join(hits, ["rid", "th"]).select("rid", "th", "raw", "hits")
-    decided = staged(once.mapInArrow(decide, "rid long, th long, raw binary, starts array<long>, ends array<long>, windows array<long>, names array<long>"), "decided")
-    more = _repeated(decided.select("rid", "th", "names"), "names")
+    decided = staged(once.mapInArrow(decide, "rid long, th long, raw binary, " + ", ".join(f"{c} array<long>" for c in _RUNS)), "decided")
+    again = _again(named(("wanted", "seen")).select(F.explode("names").alias("name")))
+    more = named(("wanted",)).select("rid", "th", F.posexplode("names").alias("i", "name")).join(again, "name").groupBy("rid", "th").agg(F.collect_list("i").alias("hits"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: tuple[list, list, list, list] = ([], [], [], [])
-            for raw, s, e, w, h in zip(*(b.column(c) for c in ("raw", "starts", "ends", "windows", "hits")), strict=True):
+            for raw, s, e, ws, we, h in zip(*(b.column(c) for c in ("raw", "covered_from", "covered_to", "wanted_from", "wanted_to", "hits")), strict=True):
                 raw = raw.as_py()
                 edge = np.zeros(len(raw) + 1, np.int64)
                 np.add.at(edge, np.asarray(s.values), 1)
                 np.add.at(edge, np.asarray(e.values), -1)
                 if h.is_valid:
-                    p = np.asarray(w.values)[np.unique(np.asarray(h.values) // 2)]
+                    p = _positions(np.asarray(ws.values), np.asarray(we.values))[np.unique(np.asarray(h.values))]
                     np.add.at(edge, p, 1)
                     np.add.at(edge, p + length, -1)
                 gone = np.cumsum(edge[:-1]) > 0
@@ -192,7 +245,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 out[3].append(kept)
             yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("th"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], pa.binary())], ["rid", "th", "n_removed", "n_spans", "kept_sha", "kept"])
 
-    cut = decided.drop("names").join(more, ["rid", "th"], "left").select("rid", "th", "raw", "starts", "ends", "windows", "hits").mapInArrow(remove, "rid long, th long, n_removed long, n_spans long, kept_sha string, kept binary")
+    cut = decided.join(more, ["rid", "th"], "left").select("rid", "th", "raw", "covered_from", "covered_to", "wanted_from", "wanted_to", "hits").mapInArrow(remove, "rid long, th long, n_removed long, n_spans long, kept_sha string, kept binary")
     found = facts.join(cut.where("n_removed > 0").dropDuplicates(["rid", "th"]), ["rid", "th"], "left")
     zero = F.lit(0).cast("long")
     return found.select(
