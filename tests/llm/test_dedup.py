@@ -149,3 +149,24 @@ def test_lines(spark):
         kept = [x for k, x in enumerate(t.split("\n")) if k not in norms or first[g.root(norms[k])] == (i, k)]
         assert got[i] == ("\n".join(kept), len(t.split("\n")) - len(kept))
     assert lines.without_repeated_lines(df.limit(0)).count() == 0
+
+
+def test_lines_shingle_every_character(spark):
+    r = random.Random(8)
+    make = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    rows = []
+    for k in range(20):
+        token = make(200)
+        # One more character in front moves all that follows; 16 changed ones in small gaps leave few strings as they were.
+        rows += [(10 * k, token), (10 * k + 1, "X" + token), (10 * k + 2, "\U0001f600 é" * 4 + token), (10 * k + 3, token[:100])]
+        rows += [(10 * k + 4, " ".join(token[i : i + 12] for i in range(0, 200, 12))), (10 * k + 5, " ".join(token[i : i + 11] + "q" for i in range(0, 200, 12)))]
+    sets = {i: {t.lower()[p : p + 10] for p in range(len(t) - 9)} for i, t in rows}
+    g = Groups()
+    for i, a in sets.items():
+        g.root(i)
+        for j, b in sets.items():
+            if j < i and 100 * len(a & b) >= 80 * len(a | b):
+                g.join(i, j)
+    got = {x.doc_id: x.n_lines_removed for x in lines.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: int(g.root(i) != i) for i in sets}
+    assert sum(got.values()) >= 20
