@@ -170,3 +170,13 @@ def test_lines_shingle_every_character(spark):
     got = {x.doc_id: x.n_lines_removed for x in lines.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: int(g.root(i) != i) for i in sets}
     assert sum(got.values()) >= 20
+
+
+def test_short_lines_are_all_linked(spark):
+    r = random.Random(9)
+    make = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    # 45 strings of ten characters each, 40 of them in both: a similarity of exactly 0.8.
+    rows = [(k, f"{t}{make(4)}y\n{t}{make(4)}z") for k, t in enumerate(make(49) for _ in range(3000))]
+    found = lines.linked(lines.lines_of(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"))
+    assert found.count() == 6000
+    assert found.select("component").distinct().count() == 3000
