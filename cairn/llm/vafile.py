@@ -132,8 +132,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, bits: int = 5, blo
 
     ``vectors`` and ``queries`` hold ``vec_id long, v array<long>``; vectors of
     different lengths have no score. A vector with the query's own id is no
-    candidate; ties go to the smaller id. Repeated rows of one id count once per
-    different score. Components must stay below 2^28 so that scores fit a long;
+    candidate; ties go to the smaller id. Every row counts, repeated ids and
+    repeated rows too, among vectors and among queries. Components must stay below 2^28 so that scores fit a long;
     bounds carry a relative slack, exact scores are integers. Queries are dealt
     into groups of about ``group`` by a hash and each group is one broadcast of
     packed blocks; the number of groups grows with the queries, the size of a
@@ -152,6 +152,5 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, bits: int = 5, blo
     merged = hits[0]
     for h in hits[1:]:
         merged = merged.unionByName(h)
-    merged = merged.distinct()
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

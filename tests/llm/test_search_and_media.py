@@ -5,11 +5,12 @@ import hashlib
 import struct
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cairn.llm import tiff, vafile, warc
+from cairn.llm import queries, tiff, vafile, warc
 
 
 def brute(rows, k):
@@ -103,3 +104,15 @@ def test_media_table(spark):
     assert got == sorted(want)
     two = spark.createDataFrame([(1, 0, bytearray(tiff.encode([IMAGE, IMAGE[:2]]))), (2, 0, None)], "id long, n_bytes long, media binary")
     assert [(r.page, r.width, r.height) for r in tiff.pages(two).orderBy("page").collect()] == [(0, 33, 70), (1, 33, 2)]
+
+
+@pytest.mark.parametrize("block", [4, 8192])
+def test_top_k_repeated_rows(spark, block, tmp_path):
+    rows = [(0, [1.0, 0.0])] + [(1, [9.0, 0.0])] * 3 + [(1, [8.0, 1.0]), (2, [8.0, 0.0])] + [(i, [10.0 - i, 0.5]) for i in range(3, 9)] + [(50, [1.0, 1.0]), (50, [2.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    df.write.parquet(str(tmp_path / "e"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/e/*.parquet')")
+    v = vafile.quantised(df)
+    got = vafile.top_k(v, v.where("vec_id % 50 = 0"), 5, block=block)
+    assert sorted(map(tuple, got.collect())) == sorted(con.execute(queries.OP1_SQL).fetchall())
