@@ -105,12 +105,16 @@ class Keys:
         return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
+def _rid(id_col: str) -> F.Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
+
+
 def _node(h: np.ndarray) -> int:
     return int.from_bytes(xxhash.xxh3_128_digest(h.tobytes())[:8], "little", signed=True)
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, bands: int, rows: int) -> DataFrame:
-    """``rid, n, node, keys`` per document: size of the shingle set, its node, its bucket keys."""
+    """``rid, th, n, node, keys`` per document: hash of the text, size of the shingle set, its node, its bucket keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, keys = Shingles(words), Keys(percent, bands, rows)
@@ -123,10 +127,10 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, percent:
                 own.append(keys(h))
             ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
             flat = pa.array(np.concatenate(own) if own else np.empty(0, np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat)], ["rid", "n", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("th"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat)], ["rid", "th", "n", "node", "keys"])
 
-    cut = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("rid"), F.col(text_col).alias("text"))
-    return cut.mapInArrow(run, "rid long, n long, node long, keys array<long>")
+    cut = docs.select(_rid(id_col).alias("rid"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    return cut.mapInArrow(run, "rid long, th long, n long, node long, keys array<long>")
 
 
 def _star_edges(nodes: DataFrame) -> DataFrame:
@@ -264,6 +268,18 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     return found.unionByName(staged(_confirmed(left.unionByName(right), percent), "links"))
 
 
+def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The signatures, the nodes with their least id, and ``node, component`` of linked nodes."""
+    sig = staged(signatures(docs, id_col, text_col, words, percent, bands, rows), "signatures")
+    nodes = staged(sig.where("n > 0").groupBy("node").agg(F.min(F.when(F.col("rid") != _NO_ID, F.col("rid"))).alias("least"), F.max("rid").alias("rid"), F.first("keys").alias("keys")), "nodes")
+    edges = staged(_star_edges(nodes), "stars")
+    family = staged(components(edges).withColumnRenamed("component", "family"), "families")
+    members = nodes.select("rid", "node").join(family, "node")
+    sets = _sets(docs, id_col, text_col, members.select("rid", "node"), words).join(family, "node")
+    comp = components(links(sets.select("family", "node", "hashes"), percent))
+    return sig, nodes, comp
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, bands: int = 24, rows: int = 4) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, one row per input row.
 
@@ -274,13 +290,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links reach, ``kept`` marks the row that has it. Rows without an id take part;
     their component has no id if none of its rows has one. Repeated rows have equal sets.
     """
-    sig = staged(signatures(docs, id_col, text_col, words, percent, bands, rows), "signatures")
-    nodes = staged(sig.where("n > 0").groupBy("node").agg(F.min(F.when(F.col("rid") != _NO_ID, F.col("rid"))).alias("least"), F.max("rid").alias("rid"), F.first("keys").alias("keys")), "nodes")
-    edges = staged(_star_edges(nodes), "stars")
-    family = staged(components(edges).withColumnRenamed("component", "family"), "families")
-    members = nodes.select("rid", "node").join(family, "node")
-    sets = _sets(docs, id_col, text_col, members.select("rid", "node"), words).join(family, "node")
-    comp = components(links(sets.select("family", "node", "hashes"), percent))
+    sig, nodes, comp = _linked(docs, id_col, text_col, words, percent, bands, rows)
     own = nodes.select("node", "least").join(comp, "node")
     reach = own.groupBy("component").agg(F.min("least").alias("reach"))
     moved = own.join(reach, "component").select("node", "reach").unionByName(nodes.join(comp, "node", "left_anti").select("node", F.col("least").alias("reach")))
@@ -288,3 +298,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     doc_id = F.when(F.col("rid") != _NO_ID, F.col("rid"))
     component = F.when(F.col("n") == 0, doc_id).otherwise(F.col("reach"))
     return out.select(doc_id.alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), doc_id.eqNullSafe(component).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, bands: int = 24, rows: int = 4) -> DataFrame:
+    """The rows of docs of which one of each component (see ``near_duplicates``) stays.
+
+    Decisions are by id and text: of a component the row with the smallest id stays,
+    then with the smallest hash of the text; rows without an id come last and are
+    decided likewise. Texts without words are linked with nothing. Of equal rows (same
+    id or none, same text) one stays in each case, the least in its other columns.
+    """
+    sig, _, comp = _linked(docs, id_col, text_col, words, percent, bands, rows)
+    sig = sig.groupBy("rid", "th", "n", "node").agg(F.count(F.lit(1)).alias("m"))
+    group = sig.where("n > 0").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    stays = group.groupBy("component").agg(F.min(F.struct((F.col("rid") == _NO_ID).alias("none"), "rid", "th")).alias("first"))
+    gone = group.join(stays, "component").where((F.col("rid") != F.col("first.rid")) | (F.col("th") != F.col("first.th")))
+    gone = staged(gone.select("rid", "th"), "gone").withColumnsRenamed({"rid": "__rid", "th": "__th"})
+    kept = docs.withColumns({"__rid": _rid(id_col), "__th": F.xxhash64(text_col)}).join(gone, ["__rid", "__th"], "left_anti")
+    twice = staged(sig.where("m > 1").select(F.col("rid").alias("__rid"), F.col("th").alias("__th")), "twice")
+    if twice.isEmpty():
+        return kept.select(*docs.columns)
+    one = kept.join(twice, ["__rid", "__th"]).groupBy("__rid", "__th").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return kept.join(twice, ["__rid", "__th"], "left_anti").select(*docs.columns).unionByName(one)

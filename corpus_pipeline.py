@@ -34,10 +34,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicate documents (five words, similarity 0.8) the one with the smallest id stays."""
+    """Of near-duplicate documents (five words, similarity 0.8) the one with the smallest id stays, and one of equal rows."""
     small_batches(spark)
-    kept = minhash.near_duplicates(docs, words=5, percent=80).where("NOT kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_anti").select(*COLUMNS)
+    return minhash.without_near_duplicates(docs.select(*COLUMNS), words=5, percent=80)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,3 +31,14 @@ def test_stages(spark, tmp_path):
             left = pii.with_spans(docs, pii.Selector(pii.quality.fit(pii.np.empty((0, 8)), pii.np.empty(0)), {}))
             assert left.where(F.size("pii_base") > 0).count() == 0
         before = after
+
+
+def test_near_duplicates_by_row(spark):
+    a, b, c, d = ("".join(f"{w}{i} " for i in range(30)) for w in "abcd")
+    rows = [(1, a), (2, a + "x"), (2, b), (3, c), (3, c), (4, a), (4, a), (5, c), (None, d), (None, d), (None, d + "x"), (None, b), (6, ""), (7, ""), (7, ""), (8, None), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(x.doc_id, x.text) for x in corpus_pipeline.dedup_documents(spark, docs, SF).collect()]
+    # Of d and d + "x", both without an id, either stays.
+    assert sum(i is None and (t or "").startswith(d) for i, t in got) == 1
+    rest = sorted((x for x in got if not (x[1] or "").startswith(d)), key=str)
+    assert rest == sorted([(1, a), (2, b), (3, c), (6, ""), (7, ""), (8, None), (None, None)], key=str)
