@@ -6,7 +6,11 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: A table of at most so many bytes, as written, may be broadcast.
+BROADCAST_BYTES = 24 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,7 +41,33 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, tag)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's path and file system of a staged table."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that no later step reads; what was made from them must be written."""
+    for t in tables:
+        p, fs = _files(t.sparkSession, t.staged_path)
+        fs.delete(p, True)
+
+
+def broadcast_if_small(table: DataFrame) -> DataFrame:
+    """A staged table, marked for broadcast if its files have at most BROADCAST_BYTES; otherwise Spark shuffles."""
+    p, fs = _files(table.sparkSession, table.staged_path)
+    return F.broadcast(table) if fs.getContentSummary(p).getLength() <= BROADCAST_BYTES else table
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once for the row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:

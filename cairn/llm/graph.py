@@ -13,32 +13,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct(), least
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame) -> tuple[DataFrame, DataFrame]:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = staged(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = down.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
-    return moved.select("x.a", "x.b").where("a <> b").distinct()
+    return moved.select("x.a", "x.b").where("a <> b").distinct(), least
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``node, component`` for every node with a link: the smallest node it can reach.
 
     ``links`` has long columns ``a, b``. Self links and repeated links do not matter,
-    links with a null do not count; no links give no rows.
+    links with a null do not count; no links give no rows. Each round's tables are
+    deleted once the next one is written.
     """
     now = staged(links.select("a", "b").where("a <> b").distinct(), "links")
     before = None
     for _ in range(max_rounds):
-        now = staged(_small_star(_large_star(now)), "links")
+        large, least = _large_star(now)
+        between = staged(large, "links")
+        discard(now, least)
+        small, least = _small_star(between)
+        now = staged(small, "links")
+        discard(between, least)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from cairn.llm import graph, lines, minhash, suffix
+from cairn.llm import common, graph, lines, minhash, suffix
 
 
 class Groups:
@@ -108,7 +108,9 @@ def test_near_duplicates(spark, block, monkeypatch):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_lines(spark):
+@pytest.mark.parametrize("limit", [common.BROADCAST_BYTES, -1])
+def test_lines(spark, monkeypatch, limit):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
     r = random.Random(6)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(3, 9)))
     pool = [[word() for _ in range(60)] for _ in range(8)]
@@ -130,7 +132,7 @@ def test_lines(spark):
             norm = line.strip(" ").lower()
             if norm:
                 places.append((i, k, norm))
-    sets = {n: {n[m.start() : m.start() + 10] for m in re.finditer("[^ ]{1,10}", n)} for _, _, n in places}
+    sets = {n: {n[p : p + 10] for p in range(max(1, len(n) - 9))} for _, _, n in places}
     names = list(sets)
     for a in range(len(names)):
         g.root(names[a])
@@ -177,6 +179,7 @@ def test_short_lines_are_all_linked(spark):
     make = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
     # 45 strings of ten characters each, 40 of them in both: a similarity of exactly 0.8.
     rows = [(k, f"{t}{make(4)}y\n{t}{make(4)}z") for k, t in enumerate(make(49) for _ in range(3000))]
-    found = lines.linked(lines.lines_of(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text"))
+    cut = lines.lines_of(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    found = lines.linked(lines.buckets(cut), cut.select("node", "norm").distinct())
     assert found.count() == 6000
     assert found.select("component").distinct().count() == 3000
