@@ -6,6 +6,11 @@ carry numbers whose sum along a word's path is the word's rank in the lexicon,
 and the rank leads to the word's ids. The automaton is a set of flat arrays in
 one file; Spark ships that file to the executors, which map it into memory. A
 word that it does not hold is merged exactly, pair by pair, in order of rank.
+
+Texts are cut at spaces into words, and equal words of a batch are looked up once;
+the ids of a batch are gathered by number of word. Texts in which a cut at a space could
+fall inside a word (runs of white space, characters beyond PLAIN, special tokens) are
+split by the vocabulary's own rules instead.
 """
 
 from __future__ import annotations
@@ -14,25 +19,26 @@ import json
 import mmap
 import os
 import re
-import tempfile
 import unicodedata
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .common import staged
+from .common import discard, new_path, staged, write_file
 
-#: Words that a worker keeps with their ids; it starts anew when they are more.
-CACHE_WORDS = 450_000
+#: Words outside the lexicon that a worker keeps with their ids; it starts anew when they are more.
+CACHE_WORDS = 300_000
+#: Rows of counted words that a worker holds before it adds them up or passes them on.
+COUNT_ROWS = 1_000_000
 
 # White space as the tokenizers library's patterns take it, and the two split patterns of the public vocabularies.
 SPACE = r"\t-\r \x85\xa0  -     　"
@@ -67,7 +73,7 @@ class Merger:
         self.words_only = bool(self.end)
         self.find = regex.compile(WORD_SPLIT if self.words_only else BYTE_SPLIT).findall
         self.library = Tokenizer.from_file(path)
-        self.model = self.library.model
+        self.rank = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
         to_byte = {c: b for b, c in enumerate(self.letters)}
         strings = self.vocab | self.special
         self.id_bytes: list[bytes] = [b""] * (max(strings.values()) + 1)
@@ -75,19 +81,17 @@ class Merger:
             plain = token.removesuffix(self.end) if self.end else token
             self.id_bytes[i] = token.encode() if token in self.special else bytes(to_byte[c] for c in plain) + b" " * (plain != token)
 
-    def chunks(self, text: str) -> list[str] | None:
-        """The text cut at spaces that surely begin a word, or None if that is not safe.
+    def plain(self, text: str) -> bool:
+        """Whether every space of the text surely begins a word, and no special token is in it."""
+        if not PLAIN.fullmatch(text) or any(t in text for t in self.special):
+            return False
+        return not (ODD_SPACE if self.words_only else SPACE_RUN).search(text)
 
-        No word reaches over such a cut, so the words of the chunks are the words of the text.
-        """
-        if not PLAIN.fullmatch(text):
-            return None
+    def split(self, texts: list[str]) -> pa.ListArray:
+        """Plain texts cut at spaces (or at white space, normalised). No word reaches over a cut."""
         if self.words_only:
-            return None if ODD_SPACE.search(text) else unicodedata.normalize("NFC", text).lower().split()
-        if SPACE_RUN.search(text):
-            return None
-        first, *rest = text.split(" ")
-        return [first, *(" " + x for x in rest)] if first else [" " + x for x in rest]
+            return pc.utf8_split_whitespace(pa.array([unicodedata.normalize("NFC", t).lower() for t in texts], pa.string()))
+        return pc.split_pattern(pa.array(texts, pa.string()), " ")
 
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens, in order."""
@@ -102,20 +106,36 @@ class Merger:
 
     def pieces(self, text: str) -> Iterator[str | int]:
         """Stretches of ordinary text, and the ids of special tokens between them."""
-        if "<|" not in text:
-            yield text
-            return
         at = 0
-        for m in self.special_re.finditer(text):
+        for m in self.special_re.finditer(text) if self.special else ():
             yield text[at : m.start()]
             yield self.special[m[0]]
             at = m.end()
         yield text[at:]
 
     def merge(self, word: str) -> list[int]:
-        """The ids of one word, by the vocabulary's merges in order of rank."""
-        tokens = self.model.tokenize("".join(map(self.letters.__getitem__, word.encode())))
-        return [t.id for t in tokens]
+        """The ids of one word: the pair of least rank is merged, at all its places, until no pair has a rank."""
+        parts = list(map(self.letters.__getitem__, word.encode()))
+        if self.end and parts:
+            parts[-1] += self.end
+        rank, none = self.rank.get, len(self.rank)
+        while len(parts) > 1:
+            pairs = list(zip(parts, parts[1:], strict=False))
+            ranks = [rank(p, none) for p in pairs]
+            least = min(ranks)
+            if least == none:
+                break
+            left, right = pairs[ranks.index(least)]
+            i, out = 0, []
+            while i < len(parts):
+                if i + 1 < len(parts) and parts[i] == left and parts[i + 1] == right:
+                    out.append(left + right)
+                    i += 2
+                else:
+                    out.append(parts[i])
+                    i += 1
+            parts = out
+        return [self.vocab[p] for p in parts]
 
 
 @lru_cache(4)
@@ -189,24 +209,32 @@ class Lexicon:
             at += -(-self.parts[-1].nbytes // 8) * 8
         self.keys, self.targets, self.outs, self.final, self.offsets, self.ids = self.parts
 
-    def ranks(self, words: list[bytes]) -> np.ndarray:
-        """The rank of each word in the lexicon, -1 where it is not in it."""
+    def ranks(self, words: pa.Array, prefix: bytes = b"") -> np.ndarray:
+        """The rank of each word, with the prefix before it, in the lexicon; -1 where it is not in it."""
         n = len(words)
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + n + 1].astype(np.int64) if n else np.zeros(1, np.int64)
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8) if n else np.empty(0, np.uint8)
+        start, lens = offsets[:-1], np.diff(offsets)
         state, rank = np.full(n, self.root, np.int64), np.zeros(n, np.int64)
         if not len(self.keys):
             return np.full(n, -1)
-        lens = np.fromiter(map(len, words), np.int64, n)
-        data, start = np.frombuffer(b"".join(words), np.uint8), np.cumsum(lens) - lens
-        alive, depth = np.arange(n), 0
-        while len(alive):
-            alive = alive[lens[alive] > depth]
-            key = state[alive] * 256 + data[start[alive] + depth]
+
+        def follow(alive: np.ndarray, byte: np.ndarray | int) -> np.ndarray:
+            key = state[alive] * 256 + byte
             arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             hit = self.keys[arc] == key
             state[alive[~hit]] = -1
             alive, arc = alive[hit], arc[hit]
             rank[alive] += self.outs[arc]
             state[alive] = self.targets[arc]
+            return alive
+
+        alive, depth = np.arange(n), 0
+        for byte in prefix:
+            alive = follow(alive, byte)
+        while len(alive):
+            alive = alive[lens[alive] > depth]
+            alive = follow(alive, data[start[alive] + depth])
             depth += 1
         good = state >= 0
         good[good] = self.final[state[good]] == 1
@@ -216,50 +244,84 @@ class Lexicon:
         return self.ids[self.offsets[rank] : self.offsets[rank + 1]].tobytes()
 
 
+def _gathered(values: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The stretches of values, one after the other."""
+    return values[np.repeat(start - np.cumsum(length) + length, length) + np.arange(int(length.sum()))]
+
+
 class Encoder:
     """Texts to little-endian 32-bit ids: lexicon first, exact merges for the rest."""
 
     def __init__(self, merger: Merger, lexicon: Lexicon | None = None) -> None:
         self.merger, self.lexicon, self.known = merger, lexicon, {}
-
-    def _word_ids(self, words: list[str]) -> list[bytes]:
-        ranks = self.lexicon.ranks([w.encode() for w in words]) if self.lexicon else [-1] * len(words)
-        return [self.lexicon.ids_of(r) if r >= 0 else array("I", self.merger.merge(w)).tobytes() for w, r in zip(words, ranks, strict=True)]
-
-    def learn(self, chunks: set[str], whole: set[str]) -> None:
-        """Find the ids of chunks and of single words that are not known yet."""
-        known = self.known
-        if len(known) + len(chunks) + len(whole) > CACHE_WORDS:
-            known.clear()
-        split = {c: self.merger.find(c) for c in chunks if c not in known}
-        words = list({w for ws in split.values() for w in ws} | {w for w in whole if w not in known})
-        ids = dict(zip(words, self._word_ids(words), strict=True))
-        for c, ws in split.items():
-            known[c] = b"".join(map(ids.__getitem__, ws))
-        for w in whole:
-            known.setdefault(w, ids.get(w))
+        self.tokens = pa.array(merger.id_bytes, pa.binary())
+
+    def _merged(self, words: list[str]) -> bytes:
+        """The ids of words that a chunk of text holds."""
+        known, out = self.known, []
+        for w in words:
+            if w not in known:
+                known[w] = array("I", self.merger.merge(w)).tobytes()
+            out.append(known[w])
+        return b"".join(out)
+
+    def _table(self, words: pa.Array, prefix: str = "") -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of different words has, and all these ids."""
+        ranks = self.lexicon.ranks(words, prefix.encode()) if self.lexicon else np.full(len(words), -1)
+        hit = ranks >= 0
+        missed = np.flatnonzero(~hit)
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        known, find, own = self.known, self.merger.find, []
+        for w in words.take(pa.array(missed)).to_pylist():
+            w = prefix + w
+            ids = known.get(w)
+            if ids is None:
+                ids = known[w] = self._merged(found) if (found := find(w)) != [w] else array("I", self.merger.merge(w)).tobytes()
+            own.append(ids)
+        lens = np.zeros(len(words), np.int64)
+        lens[missed] = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        values, start = np.frombuffer(b"".join(own), np.uint32), np.zeros(len(words), np.int64)
+        start[missed] = np.cumsum(lens[missed]) - lens[missed]
+        if hit.any():
+            at = self.lexicon.offsets
+            lens[hit] = at[ranks[hit] + 1] - at[ranks[hit]]
+            start[hit] = len(values) + np.cumsum(lens[hit]) - lens[hit]
+            values = np.concatenate([values, _gathered(self.lexicon.ids, at[ranks[hit]], lens[hit])])
+        return lens, _gathered(values, start, lens)
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that are plain."""
+        lists = self.merger.split(texts)
+        offsets, words = np.asarray(lists.offsets).astype(np.int64), lists.values.dictionary_encode()
+        which = np.asarray(words.indices).astype(np.int64)
+        if self.merger.words_only:
+            lens, ids = self._table(words.dictionary)
+        else:
+            lens, ids = self._table(words.dictionary, " ")
+            first = offsets[:-1]  # the first chunk of a text has no space before it
+            more, more_ids = self._table(lists.values.take(pa.array(first)))
+            which[first] = len(lens) + np.arange(len(first))
+            lens, ids = np.concatenate([lens, more]), np.concatenate([ids, more_ids])
+        out = np.asarray(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)), pa.array(ids)).take(pa.array(which)).flatten())
+        ends = np.concatenate([[0], np.cumsum(lens[which])])[offsets] * 4
+        raw = memoryview(out.astype("<u4").tobytes())
+        return [bytes(raw[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         m = self.merger
-        plan, chunks, whole = [], set(), set()
-        for t in texts:
-            parts: list = []
-            for p in m.pieces(t):
-                if isinstance(p, int):
-                    parts.append(p)
-                elif (own := m.chunks(p)) is not None:
-                    parts.append(own)
-                    chunks.update(own)
-                else:
-                    parts.append(own := m.words(p))
-                    whole.update(own)
-            plan.append(parts)
-        self.learn(chunks, whole)
-        get = self.known.__getitem__
-        return [b"".join(b"".join(map(get, p)) if isinstance(p, list) else p.to_bytes(4, "little") for p in parts) for parts in plan]
+        plain = [m.plain(t) for t in texts]
+        done = iter(self._plain([t for t, p in zip(texts, plain, strict=True) if p]) if any(plain) else ())
+        return [next(done) if p else b"".join(x.to_bytes(4, "little") if isinstance(x, int) else self._merged(m.words(x)) for x in m.pieces(t)) for t, p in zip(texts, plain, strict=True)]
 
-    def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.merger.id_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+    def decode(self, ids: list[bytes]) -> list[str]:
+        """The texts of lists of ids: the bytes of their tokens, invalid ones replaced."""
+        out = self.tokens.take(pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.uint32)))
+        if not len(out):
+            return [""] * len(ids)
+        ends = np.frombuffer(out.buffers()[1], np.int32)[np.cumsum([0, *(len(x) // 4 for x in ids)])].tolist()
+        raw = memoryview(out.buffers()[2])
+        return [str(raw[a:b], "utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def _chunks(texts: list[str], size: int = 1 << 21) -> Iterator[tuple[int, int]]:
@@ -275,29 +337,29 @@ def _chunks(texts: list[str], size: int = 1 << 21) -> Iterator[tuple[int, int]]:
 
 
 def word_counts(df: DataFrame, text_col: str, path: str) -> DataFrame:
-    """``word, n``: how often each word occurs in all texts; nulls count as empty."""
+    """``word, n``: how often each stretch between spaces (with the space before it, if it is part of a word) occurs in all texts; nulls count as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, counts, chunks = merger(path), Counter(), Counter()
+        m, held, rows = merger(path), [], 0
 
-        def out() -> pa.RecordBatch:
-            for c, n in chunks.items():
-                for w in m.find(c):
-                    counts[w] += n
-            chunks.clear()
-            b = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
-            counts.clear()
-            return b
+        def added(parts: list[pa.Table]) -> pa.Table:
+            return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
 
         for b in batches:
-            for t in b.column(0).to_pylist():
-                for p in m.pieces(t or ""):
-                    if isinstance(p, str):
-                        cut = m.chunks(p)
-                        (counts if cut is None else chunks).update(m.words(p) if cut is None else cut)
-                if len(counts) + len(chunks) > CACHE_WORDS:
-                    yield out()
-        yield out()
+            texts = [t or "" for t in b.column(0).to_pylist()]
+            for lo, hi in _chunks(texts):
+                found = m.split(texts[lo:hi]).values.value_counts()
+                words = found.field(0)
+                held.append(pa.table({"word": words if m.words_only else pc.binary_join_element_wise(" ", words, ""), "n": found.field(1)}))
+                rows += len(words)
+                if rows > COUNT_ROWS:
+                    held = [added(held)]
+                    rows = len(held[0])
+                    if rows > COUNT_ROWS // 2:
+                        yield from held.pop().to_batches()
+                        rows = 0
+        if held:
+            yield from added(held).to_batches()
 
     return df.select(F.col(text_col).alias("text")).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -320,12 +382,11 @@ def lexicon_file(df: DataFrame, text_col: str, path: str, size: int = 50_000, ma
             break
         least = row["step"]
     top = counts.where(F.col("step") >= least).collect() if least is not None else []
-    blob = build_lexicon({r["word"].encode(): m.merge(r["word"]) for r in top})
-    fd, name = tempfile.mkstemp(suffix=".lexicon")
-    with os.fdopen(fd, "wb") as f:
-        f.write(blob)
-    df.sparkSession.sparkContext.addFile(name)
-    return os.path.basename(name)
+    spark = df.sparkSession
+    file = write_file(new_path(spark, "lexicon"), build_lexicon({r["word"].encode(): [i for w in m.find(r["word"]) for i in m.merge(w)] for r in top}), spark)
+    spark.sparkContext.addFile(file)
+    discard(counts)
+    return os.path.basename(file)
 
 
 @lru_cache(4)
@@ -352,8 +413,9 @@ def decoding(path: str, lexicon: str | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(path, lexicon)
         for b in batches:
-            texts = [None if x is None else enc.decode(x) for x in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "text"])
+            ids = b.column("ids")
+            texts = enc.decode([x or b"" for x in ids.to_pylist()])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string(), mask=np.asarray(ids.is_null().to_numpy(zero_copy_only=False), bool))], [*b.schema.names, "text"])
 
     return run
 

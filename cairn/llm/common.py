@@ -59,6 +59,15 @@ def discard(*tables: DataFrame) -> None:
         fs.delete(p, True)
 
 
+def write_file(path: str, blob: bytes, spark: SparkSession) -> str:
+    """Write one file to the shared folder and return its path."""
+    p, fs = _files(spark, path)
+    out = fs.create(p)
+    out.write(bytearray(blob))
+    out.close()
+    return path
+
+
 def broadcast_if_small(table: DataFrame) -> DataFrame:
     """A staged table, marked for broadcast if its files have at most BROADCAST_BYTES; otherwise Spark shuffles."""
     p, fs = _files(table.sparkSession, table.staged_path)
@@ -70,6 +79,7 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
+def small_batches(spark: SparkSession, rows: int = 512, size: str = "8m") -> None:
     """Hand texts to Python in batches that stay small even with long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

@@ -38,7 +38,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
-    small_batches(spark)
+    small_batches(spark, 4096)
     docs = _table(spark, sf_dir, "documents")
     path = public_tokenizers.path("byte_bpe_50k.json")
     lexicon = bpe.lexicon_file(docs, "text", path)
@@ -90,7 +90,7 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token pieces packed into sequences of at most 2048 tokens."""
-    small_batches(spark)
+    small_batches(spark, 4096)
     packed = packing.pack(packing.pieces(_table(spark, sf_dir, "documents"), "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), 2048), 2048)
     return packed.withColumns({c: F.col(c).cast("long") for c in ("length", "offset")})
 

@@ -180,6 +180,6 @@ def test_short_lines_are_all_linked(spark):
     # 45 strings of ten characters each, 40 of them in both: a similarity of exactly 0.8.
     rows = [(k, f"{t}{make(4)}y\n{t}{make(4)}z") for k, t in enumerate(make(49) for _ in range(3000))]
     cut = lines.lines_of(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
-    found = lines.linked(lines.buckets(cut), cut.select("node", "norm").distinct())
+    found = lines.linked(lines.buckets(cut), cut.select("node", F.lower(F.trim("line")).alias("norm")).distinct())
     assert found.count() == 6000
     assert found.select("component").distinct().count() == 3000

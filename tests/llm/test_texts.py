@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -43,12 +44,13 @@ def test_lexicon(tmp_path):
     path.write_bytes(bpe.build_lexicon(words))
     lex = bpe.Lexicon(str(path))
     probe = [*words, b"", b"t", b"tapss", b"zzz", b"to"]
-    ranks = lex.ranks(probe)
+    ranks = lex.ranks(pa.array(probe, pa.binary()))
+    assert lex.ranks(pa.array([w[1:] for w in probe if w[:1] == b"t"], pa.binary()), b"t").tolist() == [r for w, r in zip(probe, ranks, strict=True) if w[:1] == b"t"]
     for w, r in zip(probe, ranks, strict=True):
         assert (np.frombuffer(lex.ids_of(r), np.uint32).tolist() if r >= 0 else None) == words.get(w)
     assert len(lex.final) < sum(map(len, words))  # suffixes are shared
     path.write_bytes(bpe.build_lexicon({}))
-    assert bpe.Lexicon(str(path)).ranks([b"a", b""]).tolist() == [-1, -1]
+    assert bpe.Lexicon(str(path)).ranks(pa.array([b"a", b""])).tolist() == [-1, -1]
 
 
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
