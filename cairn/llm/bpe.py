@@ -20,7 +20,6 @@ import mmap
 import os
 import re
 import unicodedata
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,8 +34,6 @@ from tokenizers import Tokenizer
 
 from .common import discard, new_path, staged, write_file
 
-#: Words outside the lexicon that a worker keeps with their ids; it starts anew when they are more.
-CACHE_WORDS = 300_000
 #: Rows of counted words that a worker holds before it adds them up or passes them on.
 COUNT_ROWS = 1_000_000
 
@@ -46,6 +43,8 @@ BYTE_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}
 WORD_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 #: Texts with other characters are split by the library, as its tables of characters may be older or newer.
 PLAIN = re.compile(r"[\x00-ɏ‐-‧‰-⁞₠-₽]*")
+#: Words with none but the first of these characters are not split further.
+UNSPLIT = r"[^A-Za-zÀ-ÖØ-öø-ɏ]"
 ODD_SPACE = re.compile(r"[\x1c-\x1f]")
 SPACE_RUN = re.compile(rf" [{SPACE}]")
 
@@ -58,6 +57,87 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
+def _buffers(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of an array of strings without nulls."""
+    if not len(words):
+        return np.zeros(1, np.int64), np.empty(0, np.uint8)
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    return offsets, np.frombuffer(words.buffers()[2] or b"", np.uint8)
+
+
+class Merges:
+    """The vocabulary's merges, applied to many words at once.
+
+    Each round merges in every word that is not done the pair of least rank, at all its
+    places from left to right. A pair with a merged symbol in it ranks after the pair that made
+    the symbol, so this is the order in which single merges would go.
+    """
+
+    _NONE = np.int32(2**31 - 1)
+
+    def __init__(self, pairs: np.ndarray, merged: np.ndarray) -> None:
+        self.merged = merged
+        self.bits = max(4, int(4 * len(pairs)).bit_length())
+        self.keys, self.ranks = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, self._NONE, np.int32)
+        keys = pairs[:, 0] << 32 | pairs[:, 1]
+        keys, first = np.unique(keys, return_index=True)
+        at, left = self._slot(keys), np.arange(len(keys))
+        while len(left):  # each free slot takes one key, the others go one further
+            free = left[self.keys[at[left]] == -1]
+            slots, taker = np.unique(at[free], return_index=True)
+            self.keys[slots], self.ranks[slots] = keys[free[taker]], first[free[taker]]
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, _NONE where it is none."""
+        keys = left.astype(np.int64) << 32 | right
+        at = self._slot(keys)
+        held = self.keys[at]
+        out = np.where(held == keys, self.ranks[at], self._NONE)
+        todo = np.flatnonzero((held != keys) & (held != -1))
+        while len(todo):
+            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+            held = self.keys[at[todo]]
+            hit = held == keys[todo]
+            out[todo[hit]] = self.ranks[at[todo[hit]]]
+            todo = todo[~hit & (held != -1)]
+        return out
+
+    def apply(self, symbols: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of words, with the given lengths, after all merges: lengths and symbols."""
+        word = np.repeat(np.arange(len(lens)), lens)
+        done_word, done_symbol = [], []
+        while len(symbols):
+            inner = np.append(word[1:] == word[:-1], False)
+            rank = np.full(len(symbols), self._NONE, np.int32)
+            pairs = np.flatnonzero(inner)
+            rank[pairs] = self.rank(symbols[pairs], symbols[pairs + 1])
+            start = np.flatnonzero(np.append(True, ~inner[:-1]))
+            size = np.diff(np.append(start, len(symbols)))
+            least = np.repeat(np.minimum.reduceat(rank, start), size)
+            done = least == self._NONE
+            if done.any():
+                done_word.append(word[done])
+                done_symbol.append(symbols[done])
+                word, symbols, rank, least = (x[~done] for x in (word, symbols, rank, least))
+            at = np.flatnonzero(rank == least)
+            # of places that overlap, as in a run of one symbol, every second one counts
+            fresh = np.append(True, at[1:] != at[:-1] + 1) if len(at) else np.empty(0, bool)
+            run = np.cumsum(fresh) - 1
+            at = at[(np.arange(len(at)) - np.flatnonzero(fresh)[run]) % 2 == 0] if len(at) else at
+            symbols[at] = self.merged[rank[at]]
+            keep = np.ones(len(symbols), bool)
+            keep[at + 1] = False
+            word, symbols = word[keep], symbols[keep]
+        word, symbols = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (done_word, done_symbol))
+        order = np.argsort(word, kind="stable")
+        return np.bincount(word.astype(np.int64), minlength=len(lens)), symbols[order].astype(np.uint32)
+
+
 class Merger:
     """Exact merges of single words, and the rules that split a text into words."""
 
@@ -73,7 +153,10 @@ class Merger:
         self.words_only = bool(self.end)
         self.find = regex.compile(WORD_SPLIT if self.words_only else BYTE_SPLIT).findall
         self.library = Tokenizer.from_file(path)
-        self.rank = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        self.merges = Merges(np.array([[self.vocab[a], self.vocab[b]] for a, b in pairs], np.int64).reshape(-1, 2), np.array([self.vocab[a + b] for a, b in pairs], np.int32))
+        self.letter_ids = np.array([self.vocab[c] for c in self.letters], np.int32)
+        self.last_ids = np.array([self.vocab[c + self.end] for c in self.letters], np.int32)
         to_byte = {c: b for b, c in enumerate(self.letters)}
         strings = self.vocab | self.special
         self.id_bytes: list[bytes] = [b""] * (max(strings.values()) + 1)
@@ -113,29 +196,15 @@ class Merger:
             at = m.end()
         yield text[at:]
 
-    def merge(self, word: str) -> list[int]:
-        """The ids of one word: the pair of least rank is merged, at all its places, until no pair has a rank."""
-        parts = list(map(self.letters.__getitem__, word.encode()))
-        if self.end and parts:
-            parts[-1] += self.end
-        rank, none = self.rank.get, len(self.rank)
-        while len(parts) > 1:
-            pairs = list(zip(parts, parts[1:], strict=False))
-            ranks = [rank(p, none) for p in pairs]
-            least = min(ranks)
-            if least == none:
-                break
-            left, right = pairs[ranks.index(least)]
-            i, out = 0, []
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] == left and parts[i + 1] == right:
-                    out.append(left + right)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [self.vocab[p] for p in parts]
+    def merge(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and all these ids; a word is a stretch that merges do not cross."""
+        offsets, data = _buffers(words)
+        lens = np.diff(offsets)
+        symbols = self.letter_ids[data[offsets[0] : offsets[-1]]]
+        if self.end and len(symbols):
+            last = (offsets[1:] - 1 - offsets[0])[lens > 0]
+            symbols[last] = self.last_ids[data[offsets[0] + last]]
+        return self.merges.apply(symbols, lens)
 
 
 @lru_cache(4)
@@ -212,8 +281,7 @@ class Lexicon:
     def ranks(self, words: pa.Array, prefix: bytes = b"") -> np.ndarray:
         """The rank of each word, with the prefix before it, in the lexicon; -1 where it is not in it."""
         n = len(words)
-        offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + n + 1].astype(np.int64) if n else np.zeros(1, np.int64)
-        data = np.frombuffer(words.buffers()[2] or b"", np.uint8) if n else np.empty(0, np.uint8)
+        offsets, data = _buffers(words)
         start, lens = offsets[:-1], np.diff(offsets)
         state, rank = np.full(n, self.root, np.int64), np.zeros(n, np.int64)
         if not len(self.keys):
@@ -253,41 +321,37 @@ class Encoder:
     """Texts to little-endian 32-bit ids: lexicon first, exact merges for the rest."""
 
     def __init__(self, merger: Merger, lexicon: Lexicon | None = None) -> None:
-        self.merger, self.lexicon, self.known = merger, lexicon, {}
+        self.merger, self.lexicon = merger, lexicon
         self.tokens = pa.array(merger.id_bytes, pa.binary())
 
-    def _merged(self, words: list[str]) -> bytes:
-        """The ids of words that a chunk of text holds."""
-        known, out = self.known, []
-        for w in words:
-            if w not in known:
-                known[w] = array("I", self.merger.merge(w)).tobytes()
-            out.append(known[w])
-        return b"".join(out)
-
-    def _table(self, words: pa.Array, prefix: str = "") -> tuple[np.ndarray, np.ndarray]:
-        """How many ids each of different words has, and all these ids."""
-        ranks = self.lexicon.ranks(words, prefix.encode()) if self.lexicon else np.full(len(words), -1)
+    def _merged(self, chunks: pa.Array, prefix: str) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each chunk of text has, and all these ids, by merges."""
+        m = self.merger
+        split = np.flatnonzero(np.asarray(pc.match_substring_regex(chunks, UNSPLIT).to_numpy(zero_copy_only=False), bool))
+        whole = np.setdiff1d(np.arange(len(chunks)), split)
+        found = [m.find(prefix + c) for c in chunks.take(pa.array(split)).to_pylist()]
+        words = chunks.take(pa.array(whole))
+        if prefix:
+            words = pc.binary_join_element_wise(prefix, words, "")
+        lens, ids = m.merge(pa.concat_arrays([words, pa.array([w for f in found for w in f], pa.string())]))
+        owner = np.concatenate([whole, np.repeat(split, np.fromiter(map(len, found), np.int64, len(found)))])
+        order = np.argsort(owner, kind="stable")
+        start = np.cumsum(lens) - lens
+        return np.bincount(owner, lens, len(chunks)).astype(np.int64), _gathered(ids, start[order], lens[order])
+
+    def _table(self, chunks: pa.Array, prefix: str = "") -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of different chunks has, and all these ids: those of the lexicon, and merges for the rest."""
+        if not self.lexicon:
+            return self._merged(chunks, prefix)
+        ranks = self.lexicon.ranks(chunks, prefix.encode())
         hit = ranks >= 0
-        missed = np.flatnonzero(~hit)
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        known, find, own = self.known, self.merger.find, []
-        for w in words.take(pa.array(missed)).to_pylist():
-            w = prefix + w
-            ids = known.get(w)
-            if ids is None:
-                ids = known[w] = self._merged(found) if (found := find(w)) != [w] else array("I", self.merger.merge(w)).tobytes()
-            own.append(ids)
-        lens = np.zeros(len(words), np.int64)
-        lens[missed] = np.fromiter(map(len, own), np.int64, len(own)) // 4
-        values, start = np.frombuffer(b"".join(own), np.uint32), np.zeros(len(words), np.int64)
+        missed, at = np.flatnonzero(~hit), self.lexicon.offsets
+        lens, start = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        lens[missed], values = self._merged(chunks.take(pa.array(missed)), prefix)
         start[missed] = np.cumsum(lens[missed]) - lens[missed]
-        if hit.any():
-            at = self.lexicon.offsets
-            lens[hit] = at[ranks[hit] + 1] - at[ranks[hit]]
-            start[hit] = len(values) + np.cumsum(lens[hit]) - lens[hit]
-            values = np.concatenate([values, _gathered(self.lexicon.ids, at[ranks[hit]], lens[hit])])
+        lens[hit] = at[ranks[hit] + 1] - at[ranks[hit]]
+        start[hit] = len(values) + np.cumsum(lens[hit]) - lens[hit]
+        values = np.concatenate([values, _gathered(self.lexicon.ids, at[ranks[hit]], lens[hit])])
         return lens, _gathered(values, start, lens)
 
     def _plain(self, texts: list[str]) -> list[bytes]:
@@ -312,7 +376,7 @@ class Encoder:
         m = self.merger
         plain = [m.plain(t) for t in texts]
         done = iter(self._plain([t for t, p in zip(texts, plain, strict=True) if p]) if any(plain) else ())
-        return [next(done) if p else b"".join(x.to_bytes(4, "little") if isinstance(x, int) else self._merged(m.words(x)) for x in m.pieces(t)) for t, p in zip(texts, plain, strict=True)]
+        return [next(done) if p else b"".join(x.to_bytes(4, "little") if isinstance(x, int) else m.merge(pa.array(m.words(x), pa.string()))[1].astype("<u4").tobytes() for x in m.pieces(t)) for t, p in zip(texts, plain, strict=True)]
 
     def decode(self, ids: list[bytes]) -> list[str]:
         """The texts of lists of ids: the bytes of their tokens, invalid ones replaced."""
@@ -383,7 +447,12 @@ def lexicon_file(df: DataFrame, text_col: str, path: str, size: int = 50_000, ma
         least = row["step"]
     top = counts.where(F.col("step") >= least).collect() if least is not None else []
     spark = df.sparkSession
-    file = write_file(new_path(spark, "lexicon"), build_lexicon({r["word"].encode(): [i for w in m.find(r["word"]) for i in m.merge(w)] for r in top}), spark)
+    words = [r["word"] for r in top]
+    split = [m.find(w) for w in words]
+    lens, ids = m.merge(pa.array([w for own in split for w in own], pa.string()))
+    ends = np.cumsum([0, *lens])[np.cumsum([0, *map(len, split)])].tolist()
+    blob = build_lexicon({w.encode(): ids[a:b].tolist() for w, a, b in zip(words, ends[:-1], ends[1:], strict=True)})
+    file = write_file(new_path(spark, "lexicon"), blob, spark)
     spark.sparkContext.addFile(file)
     discard(counts)
     return os.path.basename(file)
