@@ -12,14 +12,14 @@ from cairn.functions.numbers import ratio, stddev  # noqa: F401
 DISTRIBUTION = {"count": lambda v: F.count(F.lit(1)), "avg": lambda v: F.round(F.avg(v), 1), "median": F.median, "approx_median": lambda v: F.percentile_approx(v, 0.5, 1000), "min": F.min, "max": F.max, "sum": F.sum}
 
 
-def profile(df: DataFrame, by: Sequence[str], value: str | None = None, flags: Mapping[str, Column] | None = None, stats: Mapping[str, str] | None = None) -> DataFrame:
-    """One row per group: ``stats`` maps output names to count, avg, median, approx_median, min, max or sum of ``value``; ``flags`` are conditions counted.
+def profile(df: DataFrame, by: Sequence[str], value: str | None = None, flags: Mapping[str, Column] | None = None, stats: Mapping[str, str] | None = None, more: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row per group: ``stats`` maps output names to count, avg, median, approx_median, min, max or sum of ``value``; ``flags`` are conditions counted; ``more`` are other aggregates.
 
     Null keys form their own group.
     """
     aggs = [DISTRIBUTION[s](value).alias(n) for n, s in (stats or {"n": "count"}).items()]
     aggs += [F.count_if(p).alias(n) for n, p in (flags or {}).items()]
-    return df.groupBy(*by).agg(*aggs)
+    return df.groupBy(*by).agg(*aggs, *(c.alias(n) for n, c in (more or {}).items()))
 
 
 def grand_total(df: DataFrame, aggs: Mapping[str, Column]) -> DataFrame:

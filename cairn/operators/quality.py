@@ -111,3 +111,9 @@ def reconciliation(aggregate: DataFrame, value: str, source: DataFrame) -> DataF
 def year_ranges(dim: DataFrame, label: str, year: str) -> DataFrame:
     """Count and range of years per label (Q13)."""
     return dim.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.min(year).alias("first_year"), F.max(year).alias("last_year"))
+
+
+def cardinality(fact: DataFrame, source: DataFrame) -> DataFrame:
+    """Rows of both and whether they are as many (Q11)."""
+    both = fact.agg(F.count(F.lit(1)).alias("n_fact")).crossJoin(source.agg(F.count(F.lit(1)).alias("n_source")))
+    return both.withColumn("equal", F.col("n_fact") == F.col("n_source"))

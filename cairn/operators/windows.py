@@ -7,6 +7,7 @@ partition columns (W9-W12, W16, W17) are for series such as months, which have f
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,8 +58,10 @@ def zscore_flag(df: DataFrame, col: str, by: Sequence[str] | None = None, thresh
     Without spread z is ``default`` (null: no flag). Leave out a column by naming it None.
     """
     if by:
-        w = Window.partitionBy(*by)
-        held = df.withColumns({"__m": F.avg(col).over(w), "__s": stddev(col, ddof).over(w)})
+        # groups can hold most of the rows: they are summed up before the exchange and joined back
+        sums = df.groupBy(*(F.col(c).alias(f"__by_{c}") for c in by)).agg(F.avg(col).alias("__m"), stddev(col, ddof).alias("__s"))
+        same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__by_{c}")) for c in by))
+        held = df.join(sums, same).drop(*(f"__by_{c}" for c in by))
     else:
         held = with_totals(df, {"__m": F.avg(col), "__s": stddev(col, ddof)})
     z = F.when(F.col("__s") > 0, F.round((F.col(col) - F.col("__m")) / F.col("__s"), digits))
@@ -98,13 +101,29 @@ def seasonality_index(df: DataFrame, value: str, year: str, months: int = 12, st
     return df.withColumn("__m", F.round(F.sum(value).over(w) / n, 1)).withColumn(name, ratio(value, "__m", 1, digits)).drop("__m")
 
 
-def rank_by(df: DataFrame, col: str, by: Sequence[str] = (), descending: bool = True, name: str = "rang") -> DataFrame:
-    """Dense rank (W14). Without ``by`` the different values, not the rows, are ranked in one task."""
-    order = F.desc(col) if descending else F.asc(col)
-    if by:
-        return df.withColumn(name, F.dense_rank().over(Window.partitionBy(*by).orderBy(order)))
-    ranks = df.select(col).distinct().withColumn(name, F.row_number().over(Window.orderBy(order))).withColumnRenamed(col, "__v")
-    return df.join(ranks, F.col(col).eqNullSafe(F.col("__v"))).drop("__v")
+def rank_by(df: DataFrame, col: str, by: Sequence[str] = (), descending: bool = True, name: str = "rang", buckets: int = 1024) -> DataFrame:
+    """Dense rank of a number (W14), nulls last.
+
+    The different values are dealt into ``buckets`` ranges of equal width and numbered
+    there; each range starts after the counts of those before it, so that no task holds
+    all values of a group.
+    """
+    lo, hi = F.col("__lo").cast("double"), F.col("__hi").cast("double")
+    at = F.when(hi > lo, F.floor((F.col(col).cast("double") - lo) * buckets / (hi - lo))).otherwise(0)
+    at = F.when(F.col(col).isNull(), buckets + 1).otherwise(buckets - at if descending else at).cast("int")
+    values = with_totals(df.select(*by, col).distinct(), {"__lo": F.min(col), "__hi": F.max(col)}).withColumn("__at", at).drop("__lo", "__hi")
+    counts = values.groupBy(*by, "__at").agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(*by).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    start = counts.select(*by, "__at", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__b"))
+
+    def joined(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+        side = right.withColumnsRenamed({c: f"__k_{c}" for c in on})
+        return left.join(side, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in on))).drop(*(f"__k_{c}" for c in on))
+
+    order = F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
+    own = values.withColumn("__r", F.row_number().over(Window.partitionBy(*by, "__at").orderBy(order)))
+    ranks = joined(own, start, [*by, "__at"]).select(*by, col, (F.col("__r") + F.col("__b")).cast("int").alias(name))
+    return joined(df, ranks, [*by, col])
 
 
 def survival_probability(df: DataFrame, by: Sequence[str], age: str, value: str, digits: int = 4) -> DataFrame:

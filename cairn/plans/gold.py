@@ -108,15 +108,15 @@ def by_place(records: DataFrame, places: DataFrame, limits: Limits = Limits(), e
     )
 
 
-def by_cohort(records: DataFrame, limits: Limits = Limits(), exact: bool = True) -> DataFrame:
+def by_cohort(records: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row per month of birth, age and place."""
     known = rows.require(records, ["date_naissance", "age_au_deces", "code_lieu_deces"])
     keyed = rows.in_range(known.withColumn("annee_naissance", F.year("date_naissance")), "annee_naissance", limits.first_birth, limits.last_birth)
     keyed = keyed.withColumns({"id_date": dates.period_key("annee_naissance", F.month("date_naissance")), "age": F.col("age_au_deces"), "id_commune": text.zfill("code_lieu_deces")})
-    stats = {"nb_deces": "count", "age_moyen_deces": "avg", "age_median_deces": "median" if exact else "approx_median", "age_min": "min", "age_max": "max"}
-    years = aggregates.profile(keyed, ["id_date", "annee_naissance", "age", "id_commune"], "age_au_deces", _flags(limits, senior=True), stats)
-    span = keyed.groupBy("id_date", "age", "id_commune").agg(F.min("annee_deces").alias("annee_deces_min"), F.max("annee_deces").alias("annee_deces_max"))
-    agg = _sex_shares(years.join(span, ["id_date", "age", "id_commune"]))
+    span = {"annee_deces_min": F.min("annee_deces"), "annee_deces_max": F.max("annee_deces")}
+    agg = _sex_shares(aggregates.profile(keyed, ["id_date", "annee_naissance", "age", "id_commune"], flags=_flags(limits, senior=True), stats={"nb_deces": "count"}, more=span))
+    # the group's age is its records' mean, median, least and greatest age
+    agg = agg.withColumns({"age_moyen_deces": F.round(F.col("age").cast("double"), 1), "age_median_deces": F.col("age").cast("double"), "age_min": F.col("age"), "age_max": F.col("age")})
     agg = agg.withColumns({"key_generation": rows.composite_key(["id_date", "age", "id_commune"]), "ratio_h_f": numbers.ratio("nb_hommes", "nb_femmes", 1, 3), "indice_vieillissement": numbers.ratio("_nb_seniors", "nb_deces", 100, 2)})
     agg = windows.share_of_total(agg, "nb_deces", digits=5)
     agg = windows.zscore_flag(agg, "nb_deces", ["age"], default=0.0, z_col="surmortalite", flag_col=None)

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import dates, numbers, rules, text
-from cairn.operators import aggregates, joins, rows
-from cairn.sources import readers
+from cairn.operators import aggregates, joins, quality, rows
+from cairn.sources import readers, sinks
 
 KEY = ("nom", "prenoms", "date_naissance", "date_deces")
 MERGE_KEY = (*KEY, "code_lieu_deces")
@@ -57,6 +57,22 @@ def normalised(clean: DataFrame) -> DataFrame:
     return out.select(*RECORD)
 
 
+def validated(records: DataFrame, columns: Sequence[str] = ("age_au_deces", "sexe", "date_naissance")) -> tuple[DataFrame, DataFrame]:
+    """The records as they are, and one report on them: ``report, item, value`` of null rates, ages by decade, approximate dates and filled columns (C4)."""
+    nulls = quality.compute_null_rates(records, columns).select(F.lit("null_pct").alias("report"), F.col("column").alias("item"), F.col("null_pct").alias("value"))
+    ages = quality.decade_distribution(records, "age_au_deces").select(F.lit("decade").alias("report"), F.col("tranche").alias("item"), F.col("n").cast("double").alias("value"))
+    filled = quality.fill_report(records, ["_date_naissance_approx", "_date_deces_approx"], ["commune_naissance", "pays_naissance"])
+    fill = filled.select(F.explode(F.array(*(F.struct(F.lit("fill").alias("report"), F.lit(c).alias("item"), F.col(c).cast("double").alias("value")) for c in filled.columns))).alias("x")).select("x.*")
+    return records, rows.union_all([nulls, ages, fill])
+
+
+def place_table(spark: SparkSession, path: str, new: DataFrame, held: DataFrame | None = None) -> DataFrame:
+    """The place dimension after an upsert of ``new`` into ``held``, written clustered by its key."""
+    merged = new if held is None else joins.merge_upsert(held, new, ["id_commune"])[0]
+    sinks.rewrite_clustered(merged, path, ["id_commune"])
+    return spark.read.parquet(path)
+
+
 def dim_age(spark: SparkSession, last: int = rules.MAX_AGE) -> DataFrame:
     """One row per age 0..last with its bands."""
     age = F.col("age")

@@ -21,6 +21,9 @@ from cairn.operators import aggregates, windows
 Model = Mapping[str, DataFrame]
 Measure = Callable[..., DataFrame]
 MEASURES: dict[str, Measure] = {}
+#: The measures that are one aggregate expression: table and expression; and those that compare it with the value of all rows.
+VALUES: dict[str, tuple[str, Callable[[], Column]]] = {}
+AGAINST: dict[str, tuple[str, Callable[[], Column], Callable[[Column, Column], Column]]] = {}
 
 
 def measure(name: str) -> Measure:
@@ -43,19 +46,25 @@ def _register(name: str, f: Measure) -> None:
 
 def _value(name: str, expr: Callable[[], Column], table: str = "fact") -> None:
     """An aggregate expression per group."""
-    _register(name, lambda model, by=(), where=None: _rows(model, table, where).groupBy(*by).agg(expr().alias(name)))
+    VALUES[name] = (table, expr)
+    _register(name, lambda model, by=(), where=None: together(model, [name], by, where))
 
 
 def _against_all(name: str, expr: Callable[[], Column], combine: Callable[[Column, Column], Column], table: str = "fact") -> None:
     """A group's value combined with the value over all rows of the filter."""
+    AGAINST[name] = (table, expr, combine)
+    _register(name, lambda model, by=(), where=None: together(model, [name], by, where))
 
-    def run(model: Model, by: Sequence[str] = (), where: Column | str | None = None) -> DataFrame:
-        rows = _rows(model, table, where)
-        total = rows.agg(expr().alias("__all"))
-        own = rows.groupBy(*by).agg(expr().alias("__own")).crossJoin(F.broadcast(total))
-        return own.select(*by, combine(F.col("__own"), F.col("__all")).alias(name))
 
-    _register(name, run)
+def together(model: Model, names: Sequence[str], by: Sequence[str] = (), where: Column | str | None = None) -> DataFrame:
+    """Several measures of one table side by side, in one aggregation by group and, if one needs it, one over all rows."""
+    (table,) = {(VALUES.get(n) or AGAINST[n])[0] for n in names}
+    rows, against = _rows(model, table, where), [n for n in names if n in AGAINST]
+    own = rows.groupBy(*by).agg(*((VALUES.get(n) or AGAINST[n])[1]().alias(n) for n in names))
+    if not against:
+        return own
+    total = rows.agg(*(AGAINST[n][1]().alias(f"__{n}") for n in against))
+    return own.crossJoin(F.broadcast(total)).select(*by, *(AGAINST[n][2](F.col(n), F.col(f"__{n}")).alias(n) if n in AGAINST else F.col(n) for n in names))
 
 
 AGE, SEX, N = "age_au_deces", "sexe", lambda: F.count(F.lit(1))
@@ -103,6 +112,9 @@ _value("age_moyen_femmes", lambda: F.round(_mean(lambda: F.col(SEX) == "F")(), 2
 _value("age_moyen_hommes", lambda: F.round(_mean(lambda: F.col(SEX) == "M")(), 2))
 _value("age_moyen_centenaires", lambda: F.round(_mean(lambda: F.col(AGE) >= 100)(), 2))
 _value("age_median", lambda: F.median(AGE))
+_value("age_moyen_generation", lambda: F.round(_mean()(), 2))
+#: The same by the letter of the source, which averages the year of death.
+_value("age_moyen_generation_litteral", lambda: F.round(F.avg("annee_deces"), 2))
 _value("ecart_longevite", lambda: F.round(_mean(lambda: F.col(SEX) == "F")() - _mean(lambda: F.col(SEX) == "M")(), 2))
 _value("age_moyen_femmes_agg", lambda: F.round(F.avg(F.when(F.col("nb_femmes") > F.col("nb_hommes"), F.col("age_moyen_deces"))), 2), "by_cohort")
 _value("age_moyen_hommes_agg", lambda: F.round(F.avg(F.when(F.col("nb_hommes") > F.col("nb_femmes"), F.col("age_moyen_deces"))), 2), "by_cohort")

@@ -468,11 +468,7 @@ _SHARES = "round(count(*) FILTER (sexe = 'F') * 1.0::DOUBLE / count(*), 4) AS pc
 
 @_query("measures_by_year", f"WITH {_R} SELECT annee AS annee_deces, {_SHARES} FROM r GROUP BY 1")
 def measures_by_year(spark: SparkSession, sf: str) -> DataFrame:
-    fact, out = records(spark, sf), None
-    for name in ("pct_femmes", "part_mineurs", "age_moyen", "age_median", "ecart_longevite", "total_deces", "communes_distinctes"):
-        one = measures.measure(name)({"fact": fact}, ["annee_deces"])
-        out = one if out is None else out.join(one, "annee_deces")
-    return out
+    return measures.together({"fact": records(spark, sf)}, ["pct_femmes", "part_mineurs", "age_moyen", "age_median", "ecart_longevite", "total_deces", "communes_distinctes"], ["annee_deces"])
 
 
 @_query("measure_yoy", f"WITH {_R}, y AS (SELECT max(annee) AS y FROM r), k AS (SELECT sexe, count(*) FILTER (annee = y) AS a, count(*) FILTER (annee = y - 1) AS b FROM r, y GROUP BY 1) SELECT sexe, a AS variation_annuelle_n, b AS variation_annuelle_n_1, round(CAST(a - b AS DOUBLE) * 100 / nullif(b, 0), 2) AS variation_annuelle_pct FROM k")
@@ -517,22 +513,13 @@ def kpi_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return measures.measure("comparaison_commune")({"fact": records(spark, sf)})
 
 
-def _together(model_: dict[str, DataFrame], names: tuple[str, ...], by: list[str]) -> DataFrame:
-    """Several measures over the same groups, side by side."""
-    out = None
-    for name in names:
-        one = measures.measure(name)(model_, by)
-        out = one if out is None else (out.join(one, by) if by else out.crossJoin(one))
-    return out
-
-
 @_query(
     "measures_of_months",
     f"""WITH {_MONTHLY} SELECT annee, CAST(sum(nb_deces) AS BIGINT) AS deces_mensuel, CAST(sum(variation_vs_n_1) AS BIGINT) AS variation_absolue, round(avg(indice_saisonnalite), 3) AS saisonnalite_moyenne,
     max(indice_saisonnalite) AS saisonnalite_max, max(z_score) AS z_max, count(*) FILTER (anomalie_flag) AS mois_anomalie, CAST(sum(nb_deces) FILTER (abs(z_score) > 2) AS BIGINT) AS deces_seuil_z FROM monthly GROUP BY annee""",
 )
 def measures_of_months(spark: SparkSession, sf: str) -> DataFrame:
-    return _together({"by_month": gold.by_month(records(spark, sf), LIMITS)}, ("deces_mensuel", "variation_absolue", "saisonnalite_moyenne", "saisonnalite_max", "z_max", "mois_anomalie", "deces_seuil_z"), ["annee"])
+    return measures.together({"by_month": gold.by_month(records(spark, sf), LIMITS)}, ("deces_mensuel", "variation_absolue", "saisonnalite_moyenne", "saisonnalite_max", "z_max", "mois_anomalie", "deces_seuil_z"), ["annee"])
 
 
 @_query(
@@ -541,7 +528,7 @@ def measures_of_months(spark: SparkSession, sf: str) -> DataFrame:
     count(DISTINCT id_commune) FILTER (anomalie_mortalite) AS communes_anomalie, round(count(*) FILTER (anomalie_mortalite) / count(*), 4) AS pct_communes_anomalie FROM place""",
 )
 def measures_of_places(spark: SparkSession, sf: str) -> DataFrame:
-    return _together({"by_place": place_metrics(spark, sf)}, ("taux_mortalite_moyen", "densite_moyenne", "vieillissement_moyen", "taux_pour_mille", "communes_anomalie", "pct_communes_anomalie"), [])
+    return measures.together({"by_place": place_metrics(spark, sf)}, ("taux_mortalite_moyen", "densite_moyenne", "vieillissement_moyen", "taux_pour_mille", "communes_anomalie", "pct_communes_anomalie"), [])
 
 
 @_query("expected_deaths", f"WITH {_PLACE}, t AS (SELECT sum(nb_deces) / sum(population_commune) AS r FROM place) SELECT id_commune, round(r * population_commune, 2) AS deces_attendus FROM place, t")
@@ -555,7 +542,7 @@ def expected_deaths(spark: SparkSession, sf: str) -> DataFrame:
     max(annee_deces_max) - min(annee_deces_min) AS periode_active, CASE WHEN max(tendance_mortalite) >= 100 THEN '↑' WHEN max(tendance_mortalite) <= 0 THEN '↓' ELSE '→' END AS tendance, count(*) FILTER (anomalie_generation) AS anomalies_generation FROM co GROUP BY 1""",
 )
 def measures_of_cohorts(spark: SparkSession, sf: str) -> DataFrame:
-    return _together({"by_cohort": cohort_metrics(spark, sf)}, ("centenaires_generation", "longevite_max", "longevite_moyenne", "vieillissement_generation", "periode_active", "tendance", "anomalies_generation"), ["annee_naissance"])
+    return measures.together({"by_cohort": cohort_metrics(spark, sf)}, ("centenaires_generation", "longevite_max", "longevite_moyenne", "vieillissement_generation", "periode_active", "tendance", "anomalies_generation"), ["annee_naissance"])
 
 
 @_query(
@@ -565,7 +552,7 @@ def measures_of_cohorts(spark: SparkSession, sf: str) -> DataFrame:
     round(count(*) FILTER (age <= 17 AND sexe = 'M') / nullif(count(*) FILTER (age <= 17), 0), 4) AS pct_garcons_mineurs FROM r GROUP BY 1""",
 )
 def measures_by_sex_share(spark: SparkSession, sf: str) -> DataFrame:
-    return _together({"fact": records(spark, sf)}, ("total_hommes", "total_femmes", "pct_hommes", "ratio_h_f", "age_moyen_femmes", "age_moyen_hommes", "nb_5_14", "nb_15_17", "nb_1_4", "pct_garcons_mineurs"), ["annee_deces"])
+    return measures.together({"fact": records(spark, sf)}, ("total_hommes", "total_femmes", "pct_hommes", "ratio_h_f", "age_moyen_femmes", "age_moyen_hommes", "nb_5_14", "nb_15_17", "nb_1_4", "pct_garcons_mineurs"), ["annee_deces"])
 
 
 @_query("measure_excess_of_year", f"WITH {_R} SELECT sexe, round((count(*) FILTER (annee = 1999) - count(*) FILTER (annee BETWEEN 1996 AND 1998) / 3) * 100 / nullif(count(*) FILTER (annee BETWEEN 1996 AND 1998) / 3, 0), 2) AS surmortalite_annee FROM r GROUP BY 1")
@@ -583,19 +570,12 @@ def measure_age_change(spark: SparkSession, sf: str) -> DataFrame:
     return measures.measure("evolution_age")({"fact": records(spark, sf)}, least=20)
 
 
-@_query("all_measures")
-def all_measures(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows that each measure returns over the whole model."""
-    m, out = model(spark, sf), None
-    for name, f in measures.MEASURES.items():
-        one = f(m).agg(F.lit(name).alias("measure"), F.count(F.lit(1)).alias("n_rows"))
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+from cairn.plans import layer_queries, measure_queries  # noqa: E402, F401  they add their queries

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.operators.joins import anti
-from cairn.sources.readers import DEATH_RECORD, MIN_LENGTH, slice_fields, valid_length
+from cairn.sources.readers import DEATH_RECORD, MIN_LENGTH, slice_fields, valid_length, with_lineage
+from cairn.sources.sinks import init_table_if_needed
 
 
 def ingest_available(spark: SparkSession, folder: str, target: str, checkpoint: str, keys: Sequence[str], positions: dict = DEATH_RECORD, min_len: int = MIN_LENGTH) -> None:
@@ -17,15 +17,12 @@ def ingest_available(spark: SparkSession, folder: str, target: str, checkpoint:
 
     The checkpoint remembers files; the key keeps a repeated batch from adding rows twice.
     """
-    lines = spark.readStream.schema("value string").text(folder)
-    records = slice_fields(lines.where(valid_length("value", min_len)), positions)
+    lines = spark.readStream.schema("value string").text(folder).select("value", F.col("_metadata.file_name").alias("_file"))
+    records = slice_fields(lines.where(valid_length("value", min_len)), positions, keep=["_file"])
 
     def add(batch: DataFrame, _: int) -> None:
-        new = batch.dropDuplicates(list(keys))
-        try:
-            new = anti(new, spark.read.parquet(target), keys)
-        except AnalysisException:
-            pass
-        new.withColumn("_ingestion_ts", F.current_timestamp()).write.mode("append").parquet(target)
+        new = with_lineage(batch.dropDuplicates(list(keys)))
+        init_table_if_needed(spark, target, new.schema)
+        anti(new, spark.read.parquet(target), keys).write.mode("append").parquet(target)
 
     records.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
