@@ -1,12 +1,13 @@
 """Packing of tokenised documents into sequences of a fixed length.
 
 1. Every document becomes pieces of at most ``limit`` tokens; only longer documents are cut.
-2. The histogram of piece lengths (at most ``limit`` rows) goes to the driver. All
-   patterns of up to three lengths that fill a sequence exactly are listed, their
-   repeat counts are fitted to the histogram by non-negative least squares, and
-   rounded without using a length more often than it occurs; the rounding to the
-   nearest whole number goes by the longest member first, as long pieces have the
-   fewest partners.
+2. The histogram of piece lengths (at most ``limit`` rows) goes to the driver. Patterns
+   of up to five pieces that fill a sequence exactly are listed: for each length, the
+   longest first, the fillings whose lengths occur most often. Their repeat counts are
+   fitted to the histogram by non-negative least squares with an active set, which
+   leaves no more patterns with a count than there are lengths, and rounded without
+   using a length more often than it occurs; patterns with the longest member go
+   first, as long pieces have the fewest partners.
 3. What is left is packed best fit, longest first, by counts of equal lengths.
 4. The plan says, for each length, which ranks of its pieces go to which sequences.
    Its size depends on ``limit`` only. Pieces get their ranks from counts by
@@ -55,43 +56,71 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, path: str, limit: int =
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, _PIECES)
 
 
-def patterns(present: np.ndarray, limit: int) -> np.ndarray:
-    """All patterns of one to three present lengths, ascending, that sum to ``limit``; unused places hold 0."""
-    has = np.zeros(limit + 1, bool)
-    has[present] = True
-    out = [np.array([[0, 0, limit]])] if has[limit] else []
-    two = present[(2 * present <= limit)]
-    two = two[has[limit - two]]
-    out.append(np.stack([np.zeros_like(two), two, limit - two], 1))
-    for a in present[3 * present <= limit]:
-        b = present[(present >= a) & (a + 2 * present <= limit)]
-        b = b[has[limit - a - b]]
-        out.append(np.stack([np.full_like(b, a), b, limit - a - b], 1))
-    return np.concatenate(out) if out else np.empty((0, 3), int)
-
-
-def fit(found: np.ndarray, histogram: np.ndarray, rounds: int = 120) -> np.ndarray:
-    """Non-negative repeat counts x that minimise |A x - histogram|, by multiplicative updates."""
-    if not len(found):
-        return np.empty(0)
-    h = histogram.astype(float)
-    h[0] = 0
-    slots = found.ravel()
-    used = (found > 0).sum(1)
+def _pair(left: np.ndarray, rest: int, longest: int) -> list[int] | None:
+    """The two lengths that fill ``rest`` and of which most are left."""
+    a = np.arange(max(1, rest - longest), rest // 2 + 1)
+    if not len(a):
+        return None
+    held = np.where(2 * a == rest, left[a] // 2, np.minimum(left[a], left[rest - a]))
+    best = int(held.argmax())
+    return [int(a[best]), rest - int(a[best])] if held[best] > 0 else None
 
-    def back(r: np.ndarray) -> np.ndarray:
-        return r[found].sum(1)
 
-    def lengths(x: np.ndarray) -> np.ndarray:
-        y = np.bincount(slots, np.repeat(x, 3), len(h))
-        y[0] = 0
-        return y
+def patterns(histogram: np.ndarray, limit: int, common: int = 8) -> np.ndarray:
+    """Patterns of up to five pieces that sum to ``limit``, one a row, ascending; unused places hold 0.
 
-    goal = back(h)
-    x = goal / np.maximum(1, used) / np.maximum(1, len(found) / 64)
-    for _ in range(rounds):
-        x *= goal / np.maximum(back(lengths(x)), 1e-12)
-    return x
+    Each length is filled up by no, one, two or three others, the third one of the
+    ``common`` most frequent; what a pattern could hold is set aside before the next one.
+    """
+    left = histogram.astype(np.int64).copy()
+    left[0] = 0
+    rows = []
+    for longest in range(limit, 0, -1):
+        rest = limit - longest
+        while left[longest]:
+            options: list[list[int]] = [[]] if not rest else [[rest]] if rest <= longest else []
+            if rest > 1 and (two := _pair(left, rest, longest)):
+                options.append(two)
+            if rest > 2:
+                frequent = np.argsort(-left[1 : min(rest - 1, longest + 1)], kind="stable")[:common] + 1
+                options += [[int(c), *two] for c in frequent if left[c] and (two := _pair(left, rest - int(c), longest))]
+                options += [[int(c), int(c), *two] for c in frequent if left[c] > 1 and rest > 2 * c + 1 and (two := _pair(left, rest - 2 * int(c), longest))]
+            counts = [int((left[u] // n).min()) for u, n in (np.unique([longest, *o], return_counts=True) for o in options)]
+            if not any(counts):
+                break
+            n, own = max(zip(counts, options, strict=True), key=lambda x: x[0])
+            np.subtract.at(left, [longest, *own], n)
+            rows.append([0] * (4 - len(own)) + sorted([longest, *own]))
+    return np.unique(np.array(rows, np.int64).reshape(-1, 5), axis=0)
+
+
+def fit(found: np.ndarray, histogram: np.ndarray, rounds: int = 40) -> np.ndarray:
+    """Non-negative repeat counts x that minimise |A x - histogram|.
+
+    The active set starts with all patterns. Those that least squares gives a negative
+    count leave it; those outside it whose count would lessen the error come back.
+    """
+    n = len(found)
+    if not n:
+        return np.empty(0)
+    a = np.zeros((n, len(histogram)))
+    np.add.at(a, (np.repeat(np.arange(n), found.shape[1]), found.ravel()), 1)
+    a[:, 0] = 0
+    goal, gram = a @ histogram, a @ a.T
+    active, x = np.ones(n, bool), np.zeros(n)
+    for k in range(rounds):
+        own = np.flatnonzero(active)
+        x[:] = 0
+        x[own] = np.linalg.solve(gram[np.ix_(own, own)] + 1e-9 * np.eye(len(own)), goal[own])
+        negative = x < -1e-9
+        wanted = ~active & (goal - gram @ x > 1e-6 * max(1.0, float(goal.max())))
+        if negative.any():
+            active &= ~negative
+        elif wanted.any() and k < rounds // 2:
+            active |= wanted
+        else:
+            break
+    return np.maximum(x, 0)
 
 
 def plan(histogram: np.ndarray, limit: int) -> tuple[dict[str, np.ndarray], int]:
@@ -111,21 +140,19 @@ def plan(histogram: np.ndarray, limit: int) -> tuple[dict[str, np.ndarray], int]
         used[length] += n
         left[length] -= n
 
-    found = patterns(np.flatnonzero(left), limit)
+    found = patterns(left, limit)
     x = fit(found, left)
-    order = np.argsort(-x, kind="stable")
-    longest = np.lexsort((-x, -found[:, 2]))
-    for rounded, order in ((np.floor(x + 1e-9), order), (np.rint(x), longest)):
-        for p in order[rounded[order] > 0]:
-            own = [int(v) for v in found[p] if v]
-            n = min(int(rounded[p]), *(int(left[v]) // own.count(v) for v in own))
-            if n <= 0:
-                continue
-            offset = 0
-            for v in own:
-                place(v, n, sequences, offset, 1)
-                offset += v
-            sequences += n
+    counts = np.rint(x).astype(np.int64)
+    for p in np.lexsort((-x, -found[:, -1])):
+        own, times = np.unique(found[p][found[p] > 0], return_counts=True)
+        n = min(int(counts[p]), int((left[own] // times).min()))
+        if n <= 0:
+            continue
+        offset = 0
+        for v in np.repeat(own, times).tolist():
+            place(v, n, sequences, offset, 1)
+            offset += v
+        sequences += n
     spaces: dict[int, list[tuple[int, int]]] = {}  # free tokens: (first sequence, how many)
     free: list[int] = []
 

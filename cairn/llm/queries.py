@@ -28,12 +28,13 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = pii.with_spans(docs, pii.fit(docs))
+    table = pii.with_candidates(docs, keep=["doc_id"])
+    found = pii.with_spans(table, pii.fit(table))
 
     def count(kind: str) -> Column:
         return F.size(F.filter("pii_base", lambda c: c["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *(count(k) for k in pii.BASE), F.sha2(pii.joined(F.col("pii_base")), 256).alias("base_sha256"), pii.joined(F.col("pii_spans")).alias("spans"))
+    return found.select("doc_id", *(count(k) for k in pii.BASE), F.sha2(pii.joined(F.col("pii_base")), 256).alias("base_sha256"), pii.joined(F.col("pii_spans")).alias("spans"), F.size("pii_spans").cast("long").alias("n_spans"))
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ def test_stages(spark, tmp_path):
             assert minhash.near_duplicates(docs).where("NOT kept").count() == 0
             assert earlier.join(docs, "doc_id", "left_anti").count() == before - after
         if name == "pii":
-            left = pii.with_spans(docs, pii.Selector(pii.quality.fit(pii.np.empty((0, 8)), pii.np.empty(0)), {}))
+            left = pii.with_spans(pii.with_candidates(docs), pii.Selector(pii.quality.fit(pii.np.empty((0, 8)), pii.np.empty(0)), {}))
             assert left.where(F.size("pii_base") > 0).count() == 0
         before = after
 

@@ -77,8 +77,8 @@ def test_pii(spark):
     rows = [(i, "".join(r.choice(parts) for _ in range(r.randrange(14)))) for i in range(300)]
     rows += [(900, None), (901, ""), (902, "a" * 3000), (903, "1" * 3000), (904, "a@" + "b." * 3000 + "c"), (905, "+1" + " " * 3000 + "x"), (906, "a.b@c.d " * 100), (906, "a.b@c.d " * 100), (None, "x@y.z")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("pii_all", F.lit("clash")).drop("pii_all")
-    selector = pii.fit(df)
-    found = pii.with_spans(df, selector)
+    table = pii.with_candidates(df)
+    found = pii.with_spans(table, pii.fit(table))
     out = found.select("text", pii.joined(F.col("pii_base")).alias("base"), pii.joined(F.col("pii_spans")).alias("spans"), pii.redacted(F.col("text"), F.col("pii_spans")).alias("cut")).collect()
     assert len(out) == len(rows)
     for row in out:
@@ -86,10 +86,32 @@ def test_pii(spark):
         assert set(filter(None, row.base.split(","))) <= set(row.spans.split(","))
         if row.text is not None and not row.spans:
             assert row.cut == row.text
-    assert pii.with_spans(df.limit(0), pii.fit(df.limit(0))).count() == 0
+    none = pii.with_candidates(df.limit(0))
+    assert pii.with_spans(none, pii.fit(none)).count() == 0
     assert {r.cut for r in out if r.text == "a.b@c.d " * 100} == {"[EMAIL] " * 100}
 
 
+def test_pii_added_spans(spark):
+    """Secrets and random keys are found by the trees; numbers and words of clean texts are left alone."""
+    r = random.Random(4)
+    hex_ = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    rows = [(i, f"some words here {r.randrange(10**13)} and {r.randrange(99)} internationalisation") for i in range(200)]
+    rows += [(1000 + i, f'some words token = "{hex_(40)}" and more') for i in range(100)]
+    rows += [(2000 + i, f"SOME WORDS API_KEY: {hex_(32).upper()}!! AND MORE") for i in range(100)]
+    rows += [(3000 + i, f"my ssn {r.randrange(100, 899)}-{r.randrange(10, 99)}-{r.randrange(1000, 9999)} is here") for i in range(60)]
+    table = pii.with_candidates(spark.createDataFrame(rows, "doc_id long, text string"))
+    out = {x.doc_id: x.n for x in pii.with_spans(table, pii.fit(table)).select("doc_id", F.size("pii_spans").alias("n")).collect()}
+    assert not any(n for i, n in out.items() if i < 1000)
+    assert all(n for i, n in out.items() if i >= 1000)
+
+
+@pytest.mark.parametrize("n", [1, 63, 64, 65, 1000, 30_000])
+def test_pii_places_of_many_matches(spark, n):
+    text = "".join(f"\U0001f600 {'x' * (i % 7)}1.2.3.{i % 300} é" for i in range(n))
+    got = spark.createDataFrame([(text,)], "text string").select(pii.candidates(F.col("text"), "ip").alias("c")).first().c
+    assert [(c.start, c.end) for c in got] == [m.span() for m in re.finditer(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", text)]
+
+
 def test_quality_held_out(spark):
     sf = "/root/testdata/sf0.01"
     scores = queries.op10_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
@@ -108,6 +130,22 @@ def test_quality_edges(spark):
     assert all(np.isfinite(quality.statistics(t)).all() for t in ("", " ", "\n", "a", "é\n\n!", "x" * 100_000))
 
 
+def test_patterns_fit():
+    r = np.random.default_rng(3)
+    h = np.bincount(np.minimum(2048, r.gamma(2, 320, 30_000).astype(int) + 1), minlength=2049)
+    found = packing.patterns(h, 2048)
+    assert (found.sum(1) == 2048).all() and (h[found[found > 0]] > 0).all()
+    x = packing.fit(found, h)
+    a = np.zeros((len(found), 2049))
+    np.add.at(a, (np.repeat(np.arange(len(found)), 5), found.ravel()), 1)
+    a[:, 0] = 0
+    gradient = a @ (h - a.T @ x)
+    assert (gradient < 1e-3 * h.max()).all() and abs(gradient[x > 0]).max() < 1e-3 * h.max()
+    p, n = packing.plan(h, 2048)
+    assert n <= -(-int((h * np.arange(2049)).sum()) // 2048) + 3
+    assert (np.rint(x) @ (found > 0).sum(1)) > 0.6 * h.sum()
+
+
 @pytest.mark.parametrize("lengths", [[], [1] * 5000, [2048] * 3 + [1], list(range(1, 2049)), [700, 700, 648] * 50 + [1024] * 7])
 def test_plan(lengths):
     h = np.bincount(np.array(lengths, int), minlength=2049)
