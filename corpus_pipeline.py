@@ -41,7 +41,8 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in texts is replaced by its kind in brackets."""
-    found = pii.with_spans(docs, pii.fit(docs))
+    table = pii.with_candidates(docs, keep=COLUMNS)
+    found = pii.with_spans(table, pii.fit(table))
     return _documents(found.withColumn("text", pii.redacted(F.col("text"), F.col("pii_spans"))))
 
 
