@@ -1,29 +1,36 @@
 """Exact top-k search with vector-approximation files.
 
-Every vector has a short approximation: for each dimension the number of the
-cell that its component falls in. A query first scans the approximations only
-and gets from the cells' edges an upper and a lower bound of each score. It then
-reads exact vectors in the order of their upper bounds and stops when the k-th
-exact score is above all bounds that are left, so no result can be missed.
-
-Layout on Spark: vectors are packed into blocks of ``block`` rows with their
-cells, queries into blocks of ``query_block`` rows, and each pair of blocks is
-one row of work that returns at most k rows for each query. A second step merges
-these lists. Blocks of queries are broadcast in groups of bounded size.
+Every vector has a short approximation: for each dimension the number of the cell that
+its component falls in, one byte. Approximations are one table, in blocks with the
+edges of their cells; the exact vectors are another. A search goes in four steps:
+
+1. The approximations are scanned for lower bounds of the scores. Each block returns k of
+   them for each query, and the k-th best of all is a limit that the result must reach.
+2. They are scanned again for upper bounds; vectors whose upper bound reaches the limit
+   are candidates. Exact vectors have not been read up to here.
+3. Of each query's candidates the k with the largest upper bounds are read exactly. The
+   k-th best score is a better limit.
+4. Of the other candidates those whose upper bound reaches this limit are read, and the
+   result is certain.
+
+Queries are packed into blocks as well. Blocks of queries are dealt into groups of
+bounded size, and each block of approximations meets each group; if all groups together
+are small they are broadcast, else Spark shuffles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import broadcast_if_small, staged
 
-_HITS = "query_id long, vec_id long, score long"
+_CELLS = "dim int, rids binary, ids binary, cells binary, low binary, width binary"
+_QUERIES = "dim int, g int, q_rids binary, q_ids binary, q_vecs binary, q_least binary"
 
 
 def quantised(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 256) -> DataFrame:
@@ -41,116 +48,141 @@ def quantised(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     )
 
 
-def _packer(block: int):
-    """Pack vectors of one length into rows ``dim, ids, vectors`` of at most ``block``."""
+def _blocks(block: int, row: Callable[..., dict], groups: int = 1):
+    """Pack vectors (rid, vec_id, v, least) of one length and one group into rows of at most ``block``, made by ``row``."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list, list]] = {}
+        held: dict[tuple[int, int], list[tuple]] = {}
 
-        def out(dim: int) -> pa.RecordBatch:
-            ids, vecs = held.pop(dim)
-            return pa.RecordBatch.from_pydict(
-                {"dim": pa.array([dim], pa.int32()), "ids": pa.array([np.concatenate(ids).tobytes()], pa.binary()), "vecs": pa.array([np.concatenate(vecs).tobytes()], pa.binary())}
-            )
+        def out(key: tuple[int, int]) -> pa.RecordBatch:
+            made = row(key[0], *(np.concatenate(x) for x in zip(*held.pop(key), strict=True)))
+            return pa.RecordBatch.from_pylist([made], pa.schema([(c, pa.binary() if isinstance(x, bytes) else pa.int32()) for c, x in made.items()]))
 
         for b in batches:
-            ids = b.column("vec_id").to_numpy(zero_copy_only=False)
-            col = b.column("v")
+            rids, ids = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("rid", "vec_id"))
+            least, col = b.column("least").to_numpy(zero_copy_only=False).astype(float), b.column("v")
             lens = np.asarray(col.value_lengths())
             flat, start = np.asarray(col.flatten()), np.concatenate([[0], np.cumsum(lens)])
-            for dim in np.unique(lens):
-                rows = np.flatnonzero(lens == dim)
+            for dim, g in sorted(set(zip(lens.tolist(), (rids % groups).tolist(), strict=True))):
+                rows = np.flatnonzero((lens == dim) & (rids % groups == g))
                 vecs = flat[start[rows][:, None] + np.arange(dim)].astype(np.int64)
                 for lo in range(0, len(rows), block):
-                    a, c = held.setdefault(int(dim), ([], []))
-                    a.append(ids[rows[lo : lo + block]].astype(np.int64))
-                    c.append(vecs[lo : lo + block])
-                    if sum(map(len, a)) >= block:
-                        yield out(int(dim))
-        for dim in list(held):
-            yield out(dim)
+                    part = slice(lo, lo + block)
+                    held.setdefault((dim, g), []).append((rids[rows[part]], ids[rows[part]], vecs[part], least[rows[part]]))
+                    if sum(len(x[0]) for x in held[dim, g]) >= block:
+                        yield out((dim, g))
+        for key in list(held):
+            yield out(key)
 
     return pack
 
 
-def _cells(v: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cell numbers (uint8) of each component, and each dimension's cell edges."""
-    lo, hi = v.min(0), v.max(0)
-    width = np.maximum(1, -(-(hi - lo + 1) // (1 << bits)))
-    return ((v - lo) // width).astype(np.uint8), lo + width * np.arange((1 << bits) + 1)[:, None]
+def _cell_row(bits: int):
+    """A block's approximations: cell numbers, and each dimension's lowest value and width of a cell."""
 
+    def row(dim: int, rids: np.ndarray, ids: np.ndarray, v: np.ndarray, _: np.ndarray) -> dict:
+        low = v.min(0)
+        width = np.maximum(1, -(-(v.max(0) - low + 1) // (1 << bits)))
+        cells = ((v - low) // width).astype(np.uint8)
+        return {"dim": dim, "rids": rids.tobytes(), "ids": ids.tobytes(), "cells": cells.tobytes(), "low": low.tobytes(), "width": width.tobytes()}
 
-def _search(k: int, bits: int):
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return row
+
+
+def _query_row(groups: int):
+    def row(dim: int, rids: np.ndarray, ids: np.ndarray, v: np.ndarray, least: np.ndarray) -> dict:
+        return {"dim": dim, "g": int(rids[0] % groups), "q_rids": rids.tobytes(), "q_ids": ids.tobytes(), "q_vecs": v.tobytes(), "q_least": least.tobytes()}
+
+    return row
+
+
+def _longs(b: pa.RecordBatch, i: int, name: str) -> np.ndarray:
+    return np.frombuffer(b.column(name)[i].as_buffer(), np.int64)
+
+
+def _bounds(b: pa.RecordBatch, i: int, upper: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Upper or lower bounds of all scores of one pair of blocks (own vectors: minus infinity), and the rids of both sides."""
+    dim, rids, qrids = b.column("dim")[i].as_py(), _longs(b, i, "rids"), _longs(b, i, "q_rids")
+    q = _longs(b, i, "q_vecs").reshape(len(qrids), dim)
+    cells = np.frombuffer(b.column("cells")[i].as_buffer(), np.uint8).reshape(len(rids), dim)
+    low, width = _longs(b, i, "low"), _longs(b, i, "width")
+    first = (low + cells * width).astype(float)
+    last = first + (width - 1)
+    plus, minus = np.maximum(q, 0).astype(float), np.minimum(q, 0).astype(float)
+    slack = 1e-9 * (np.abs(q).astype(float) @ np.maximum(np.abs(low), np.abs(low + (width << 8))))[:, None]
+    out = plus @ last.T + minus @ first.T + slack if upper else plus @ first.T + minus @ last.T - slack
+    out[_longs(b, i, "q_ids")[:, None] == _longs(b, i, "ids")[None, :]] = -np.inf
+    return out, rids, qrids
+
+
+def _lower(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                dim = b.column("dim")[i].as_py()
-                get = lambda name: np.frombuffer(b.column(name)[i].as_buffer(), np.int64)  # noqa: B023, E731
-                ids, qids = get("ids"), get("q_ids")
-                v, q = get("vecs").reshape(len(ids), dim), get("q_vecs").reshape(len(qids), dim)
-                yield _block(ids, v, qids, q, k, bits)
-
-    return search
-
-
-def _block(ids: np.ndarray, v: np.ndarray, qids: np.ndarray, q: np.ndarray, k: int, bits: int) -> pa.RecordBatch:
-    """The k best of one block of vectors for each query of one block."""
-    if v.shape[1]:
-        cell, edge = _cells(v, bits)
-        dims = np.arange(v.shape[1])
-        low, high = edge[cell, dims].astype(float), (edge[cell + 1, dims] - 1).astype(float)
-        plus, minus = np.maximum(q, 0).astype(float), np.minimum(q, 0).astype(float)
-        slack = 1e-9 * (np.abs(q).astype(float) @ np.maximum(np.abs(low), np.abs(high)).max(0))[:, None]
-        upper, lower = plus @ high.T + minus @ low.T + slack, plus @ low.T + minus @ high.T - slack
-    else:
-        upper = lower = np.zeros((len(q), len(v)))
-    own = qids[:, None] == ids[None, :]
-    upper, lower = np.where(own, -np.inf, upper), np.where(own, -np.inf, lower)
-    found: tuple[list, list, list] = ([], [], [])
-    kth = np.partition(lower, -k, axis=1)[:, -k] if lower.shape[1] >= k else np.full(len(q), -np.inf)
-    for j in range(len(q)):
-        row = upper[j]
-        cand = np.flatnonzero((row >= kth[j]) & ~own[j])
-        cand = cand[np.argsort(-row[cand], kind="stable")]
-        best_s, best_i, at, step = np.empty(0, np.int64), np.empty(0, np.int64), 0, max(16, 2 * k)
-        while at < len(cand):
-            if len(best_s) == k and row[cand[at]] < best_s[-1]:
-                break
-            take = cand[at : at + step]
-            at += step
-            s, n = np.concatenate([best_s, v[take] @ q[j]]), np.concatenate([best_i, ids[take]])
-            keep = np.lexsort((n, -s))[:k]
-            best_s, best_i = s[keep], n[keep]
-        found[0].append(np.full(len(best_s), qids[j]))
-        found[1].append(best_i)
-        found[2].append(best_s)
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64) if x else [], pa.int64()) for x in found], ["query_id", "vec_id", "score"])
-
-
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, bits: int = 5, block: int = 8192, query_block: int = 256, group: int = 16384) -> DataFrame:
+                bounds, _, qrids = _bounds(b, i, upper=False)
+                best = np.partition(bounds, -k, axis=1)[:, -k:] if bounds.shape[1] > k else bounds
+                q, at = np.nonzero(best > -np.inf)
+                yield pa.RecordBatch.from_arrays([pa.array(qrids[q]), pa.array(best[q, at])], ["q", "bound"])
+
+    return run
+
+
+def _upper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i in range(b.num_rows):
+            bounds, rids, qrids = _bounds(b, i, upper=True)
+            least = np.frombuffer(b.column("q_least")[i].as_buffer(), float)
+            q, at = np.nonzero((bounds >= least[:, None]) & (bounds > -np.inf))
+            yield pa.RecordBatch.from_arrays([pa.array(qrids[q]), pa.array(rids[at]), pa.array(bounds[q, at])], ["q", "rid", "bound"])
+
+
+def approximations(vectors: DataFrame, bits: int = 6, block: int = 8192) -> tuple[DataFrame, DataFrame]:
+    """The table of exact vectors (rid, vec_id, v), and that of their cells in blocks; both are written."""
+    exact = staged(vectors.select(F.monotonically_increasing_id().alias("rid"), "vec_id", "v"), "vectors")
+    return exact, staged(exact.withColumn("least", F.lit(0.0)).mapInArrow(_blocks(block, _cell_row(bits)), _CELLS), "cells")
+
+
+def candidates(cells: DataFrame, queries: DataFrame, k: int, query_block: int = 256, group: int = 16384) -> DataFrame:
+    """``q, rid, bound``: for each query (rid) the vectors whose upper bound reaches the k-th largest lower bound. Only cells are read."""
+    groups = max(1, -(-queries.count() // group))
+    each = cells.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+
+    def pairs(limits: DataFrame | None) -> DataFrame:
+        held = queries.withColumn("least", F.lit(float("-inf"))) if limits is None else queries.join(limits, F.col("rid") == F.col("q"), "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+        dealt = held.select("rid", "vec_id", "v", "least") if groups == 1 else held.select("rid", "vec_id", "v", "least").repartition(groups, F.pmod("rid", F.lit(groups)))
+        packed = staged(dealt.mapInArrow(_blocks(query_block, _query_row(groups), groups), _QUERIES), "queries")
+        return each.join(broadcast_if_small(packed), ["dim", "g"])
+
+    lower = pairs(None).mapInArrow(_lower(k), "q long, bound double")
+    ranked = lower.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("bound")))).where(F.col("r") <= k)
+    limits = ranked.where(F.col("r") == k).select("q", F.col("bound").alias("least"))
+    return pairs(limits).mapInArrow(_upper, "q long, rid long, bound double")
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, bits: int = 6, block: int = 8192, query_block: int = 256, group: int = 16384) -> DataFrame:
     """The k largest inner products of each query with all other vectors.
 
     ``vectors`` and ``queries`` hold ``vec_id long, v array<long>``; vectors of
     different lengths have no score. A vector with the query's own id is no
     candidate; ties go to the smaller id. Every row counts, repeated ids and
-    repeated rows too, among vectors and among queries. Components must stay below 2^28 so that scores fit a long;
-    bounds carry a relative slack, exact scores are integers. Queries are dealt
-    into groups of about ``group`` by a hash and each group is one broadcast of
-    packed blocks; the number of groups grows with the queries, the size of a
-    broadcast does not. Result: ``query_id, rank (from 1), vec_id, score``; empty
+    repeated rows too, among vectors and among queries; queries of one id are one. Components must stay below 2^28 so that scores fit a long;
+    bounds carry a relative slack, exact scores are integers. The number of groups of about ``group`` queries
+    grows with the queries. Result: ``query_id, rank (from 1), vec_id, score``; empty
     tables give no rows.
     """
-    packed_v = staged(vectors.select("vec_id", "v").mapInArrow(_packer(block), "dim int, ids binary, vecs binary"), "vectors")
-    n = queries.count()
-    groups = max(1, -(-n // group))
-    hits = []
-    for g in range(groups):
-        own = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(groups)) == g) if groups > 1 else queries
-        packed_q = own.select("vec_id", "v").mapInArrow(_packer(query_block), "dim int, ids binary, vecs binary").select("dim", F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"))
-        pairs = packed_v.join(F.broadcast(packed_q), "dim")
-        hits.append(pairs.mapInArrow(_search(k, bits), _HITS))
-    merged = hits[0]
-    for h in hits[1:]:
-        merged = merged.unionByName(h)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return merged.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    exact, cells = approximations(vectors, bits, block)
+    asked = staged(queries.select(F.monotonically_increasing_id().alias("rid"), "vec_id", "v"), "asked")
+    found = staged(candidates(cells, asked, k, query_block, group), "candidates")
+    def read(which: DataFrame) -> DataFrame:
+        """The exact scores of some candidates."""
+        both = which.join(exact, "rid").join(broadcast_if_small(asked).select(*(F.col(c).alias(n) for c, n in (("rid", "q"), ("vec_id", "query_id"), ("v", "qv")))), "q")
+        score = F.aggregate(F.zip_with("v", "qv", lambda a, b: a * b), F.lit(0).cast("long"), lambda t, x: t + x)
+        return both.select("q", "query_id", "rid", "vec_id", score.alias("score"))
+
+    def best(rows: DataFrame, *order: F.Column, by: str = "q") -> DataFrame:
+        return rows.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("rank") <= k)
+
+    first = staged(read(best(found, F.desc("bound"), F.col("rid"))), "first-scores")
+    limits = best(first, F.desc("score")).where(F.col("rank") == k).select("q", F.col("score").alias("least"))
+    rest = found.join(limits, "q").where(F.col("bound") >= F.col("least")).join(first.select("q", "rid"), ["q", "rid"], "left_anti")
+    return best(first.unionByName(read(rest.select("q", "rid", "bound"))), F.desc("score"), F.col("vec_id"), by="query_id").select("query_id", "rank", "vec_id", "score")
