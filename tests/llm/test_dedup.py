@@ -5,7 +5,9 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from cairn.llm import common, graph, lines, minhash, suffix
@@ -174,12 +176,27 @@ def test_lines_shingle_every_character(spark):
     assert sum(got.values()) >= 20
 
 
+def test_shingle_sets():
+    norms = ["", "abc", "abcdefghij", "abcdefghijk", "aaaaaaaaaaaaaaa", "é\U0001f600" * 20, "abc"]
+    for width in (1, 3, 10):
+        keys, n = lines.shingle_sets(norms, width)
+        assert n.tolist() == [len({x[p : p + width] for p in range(max(1, len(x) - width + 1))}) for x in norms]
+        assert (np.diff(keys.astype(float)) >= 0).all() and len(keys) == n.sum()
+    assert lines.shingle_sets([], 10)[1].tolist() == []
+
+
+def test_line_hash_is_sparks(spark):
+    rows = [("",), (" ",), ("é\U0001f600 x" * 9,), ("x" * 100,)]
+    got = spark.createDataFrame(rows, "line string").select(F.xxhash64("line").alias("h"), "line").collect()
+    assert [x.h & (2**64 - 1) for x in got] == [xxhash.xxh64_intdigest(x.line.encode(), 42) for x in got]
+
+
 def test_short_lines_are_all_linked(spark):
     r = random.Random(9)
     make = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
     # 45 strings of ten characters each, 40 of them in both: a similarity of exactly 0.8.
     rows = [(k, f"{t}{make(4)}y\n{t}{make(4)}z") for k, t in enumerate(make(49) for _ in range(3000))]
-    cut = lines.lines_of(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
-    found = lines.linked(lines.buckets(cut), cut.select("node", F.lower(F.trim("line")).alias("norm")).distinct())
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lines.linked(lines.buckets(docs), lines.lines_of(docs, "doc_id", "text").select("node", "line").distinct())
     assert found.count() == 6000
     assert found.select("component").distinct().count() == 3000
