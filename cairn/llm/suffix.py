@@ -26,14 +26,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from . import passages
+from .common import broadcast_if_small, discard, staged
+from .names import Names
 
 GRAM = 200
 SEGMENT = 1 << 19
@@ -41,32 +42,6 @@ _NO_ID = -(1 << 63)
 _POS = np.uint64((1 << 20) - 1)
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> np.uint64(33))
-
-
-@lru_cache(1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15
-    inverse = pow(base, -1, 1 << 64)
-    up, down = np.full(n, base, np.uint64), np.full(n, inverse, np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down), np.random.default_rng(5).integers(1, 1 << 63, 256, np.uint64)
-
-
-class Names:
-    """Names of the strings within one stretch of bytes."""
-
-    def __init__(self, data: np.ndarray, most: int) -> None:
-        up, self.down, value = _powers(most)
-        self.prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value[data] * up[: len(data)])])
-
-    def names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return _mix((self.prefix[end] - self.prefix[start]) * self.down[start] + (end - start).astype(np.uint64))
-
-
 class Segment(Names):
     """Anchors, spans and names of one stretch of bytes."""
 
@@ -141,24 +116,28 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64), kind))
 
 
-#: Up to so many texts with repeated samples, others are set aside before texts are shuffled.
-KEYS_TO_BROADCAST = 2_000_000
-
-
 def _again(each: DataFrame, *more: F.Column) -> DataFrame:
     """The names that occur more than once, with more aggregates."""
     return staged(each.groupBy("name").agg(F.count(F.lit(1)).alias("c"), *more).where("c > 1").drop("c"), "names")
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = GRAM, segment: int = SEGMENT) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` and ``kept`` (the bytes that stay where any go).
+def rows_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``rid, raw, th``: id (a fixed number for none), bytes (null: empty) and their hash."""
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("rid"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("raw")).withColumn("th", F.xxhash64("raw"))
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, gram: int = GRAM, segment: int = SEGMENT, passage: int = 51) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, ``kept`` (the bytes that stay where any go) and ``shares_passage``.
 
     A byte goes if it lies in a string of ``length`` bytes that also starts anywhere
     else in any text, the same one included; matches do not cross texts. A null text is
     empty; texts shorter than ``length`` stay whole. Repeated rows are copies of each
-    other like any two rows. ``kept`` is null where nothing goes.
+    other like any two rows. ``kept`` is null where nothing goes. ``shares_passage`` is 1
+    where the text has a passage of ``passage`` words with another document in common
+    (see ``passages``), which can be shorter than ``length`` bytes; nothing goes for that.
     """
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("rid"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("raw")).withColumn("th", F.xxhash64("raw"))
+    rows = rows_of(docs, id_col, text_col)
+    sharing = passages.sharing(rows, passage)
     facts = rows.select("rid", "th", F.octet_length("raw").cast("long").alias("n_bytes"), F.sha2("raw", 256).alias("sha"))
     long_ = rows.where(F.octet_length("raw") >= length)
 
@@ -172,6 +151,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     again = _again(each, F.min("tag").alias("first"))
     # of each repeated sample twice its place, plus 1 where it is the first occurrence of its name
     hits = staged(each.join(again, "name").groupBy("rid", "th").agg(F.collect_list(F.col("i") * 2 + (F.col("tag") == F.col("first")).cast("int")).alias("hits")), "repeated-samples")
+    discard(samples, again)
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -218,10 +198,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return decided.select("rid", "th", "raw", *(f"{k}_{e}" for k in kinds for e in ("from", "to"))).mapInArrow(run, "rid long, th long, names array<long>")
 
     # one row per different (id, text); equal rows share their result
-    if hits.count() <= KEYS_TO_BROADCAST:
-        long_ = long_.join(F.broadcast(hits.select("rid", "th")), ["rid", "th"], "left_semi")
-    once = long_.join(hits, ["rid", "th"]).select("rid", "th", "raw", "hits")
+    keys = staged(hits.select("rid", "th"), "keys")
+    once = long_.join(broadcast_if_small(keys), ["rid", "th"], "left_semi").join(hits, ["rid", "th"]).select("rid", "th", "raw", "hits")
     decided = staged(once.mapInArrow(decide, "rid long, th long, raw binary, " + ", ".join(f"{c} array<long>" for c in _RUNS)), "decided")
+    discard(hits, keys)
     again = _again(named(("wanted", "seen")).select(F.explode("names").alias("name")))
     more = named(("wanted",)).select("rid", "th", F.posexplode("names").alias("i", "name")).join(again, "name").groupBy("rid", "th").agg(F.collect_list("i").alias("hits"))
 
@@ -246,9 +226,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("th"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], pa.binary())], ["rid", "th", "n_removed", "n_spans", "kept_sha", "kept"])
 
     cut = decided.join(more, ["rid", "th"], "left").select("rid", "th", "raw", "covered_from", "covered_to", "wanted_from", "wanted_to", "hits").mapInArrow(remove, "rid long, th long, n_removed long, n_spans long, kept_sha string, kept binary")
-    found = facts.join(cut.where("n_removed > 0").dropDuplicates(["rid", "th"]), ["rid", "th"], "left")
+    found = facts.join(cut.where("n_removed > 0").dropDuplicates(["rid", "th"]), ["rid", "th"], "left").join(broadcast_if_small(sharing).withColumn("shares", F.lit(1)), ["rid", "th"], "left")
     zero = F.lit(0).cast("long")
     return found.select(
         F.when(F.col("rid") != _NO_ID, F.col("rid")).alias("doc_id"), "n_bytes",
-        F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha", "sha").alias("kept_sha256"), "kept",
+        F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha", "sha").alias("kept_sha256"), "kept", F.coalesce("shares", F.lit(0)).alias("shares_passage"),
     )

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from cairn.llm import common, graph, lines, minhash, suffix
+from cairn.llm import common, graph, lines, minhash, passages, suffix
 
 
 class Groups:
@@ -176,6 +176,33 @@ def test_lines_shingle_every_character(spark):
     assert sum(got.values()) >= 20
 
 
+@pytest.mark.parametrize("limit", [common.BROADCAST_BYTES, -1])
+def test_shared_passages(spark, monkeypatch, limit):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+    monkeypatch.setattr(passages, "SLICE", 40)
+    r = random.Random(10)
+    make = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    pool = [make(n) for n in (10, 19, 20, 21, 25, 60)]
+    rows = []
+    for i in range(120):
+        t = make(r.choice([0, 5, 30, 90]))
+        for _ in range(r.randrange(3)):
+            t += r.choice(pool) + make(r.choice([0, 1, 30]))
+        rows.append((i, (" " if i % 2 else "\n").join(t)))
+    rows += [(200, None), (201, ""), (202, rows[3][1]), (202, rows[3][1]), (None, " ".join(pool[3])), (None, " ".join(pool[3]) + " x"), (203, "a " * 50), (204, " ".join(pool[5] * 3))]
+    words, docs = 20, {}
+    for i, t in rows:
+        raw, spans = (t or "").encode(), [m.span() for m in re.finditer(rb"\S+", (t or "").encode())]
+        docs[i, t or ""] = {raw[spans[k][0] : spans[k + words - 1][1]] for k in range(len(spans) - words + 1)}
+    many = Counter(w for own in docs.values() for w in own)
+    want = [k for k, own in docs.items() if any(many[w] > 1 for w in own)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    held = suffix.rows_of(df)
+    got = passages.sharing(held, words, 8).join(held, ["rid", "th"]).select("rid", F.decode("raw", "UTF-8").alias("t")).distinct().collect()
+    none = -(1 << 63)
+    assert sorted((x.rid, x.t) for x in got) == sorted((none if i is None else i, t) for i, t in want)
+
+
 def test_shingle_sets():
     norms = ["", "abc", "abcdefghij", "abcdefghijk", "aaaaaaaaaaaaaaa", "é\U0001f600" * 20, "abc"]
     for width in (1, 3, 10):
