@@ -135,6 +135,31 @@ def test_sinks_and_monitoring(spark, tmp_path):
     assert monitoring.run_history(m).first()["nb_tables"] == 3
 
 
+def test_named_tables(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "p"))
+    sinks.register(spark, "t_registered", str(tmp_path / "p"))
+    sinks.register(spark, "t_registered", str(tmp_path / "p"))
+    sinks.save_managed(spark.range(3), "t_managed")
+    sinks.save_managed(spark.range(4), "t_managed")
+    assert (readers.read_table(spark, "t_registered").count(), readers.read_table(spark, "t_managed", ["id"]).count()) == (5, 4)
+
+
+def test_init_table_raises_on_other_faults(spark, tmp_path):
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        sinks.init_table_if_needed(spark, str(tmp_path / "bad"), "a int")
+
+
+def test_ranks_and_scores_keep_null_groups(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("a", None), ("a", 5.0)], "g string, v double")
+    assert sorted((r.g or "", r.v or 0, r.rang) for r in windows.rank_by(df, "v", ["g"], buckets=2).collect()) == [("", 1.0, 2), ("", 3.0, 1), ("a", 0, 2), ("a", 5.0, 1), ("a", 5.0, 1)]
+    assert sorted(r.rang for r in windows.rank_by(df, "v", descending=False).collect()) == [1, 2, 3, 3, 4]
+    assert windows.zscore_flag(df, "v", ["g"], z_col="z").where("g IS NULL AND z IS NOT NULL").count() == 2
+    many = spark.range(500).select((F.col("id") % 97).alias("v"))
+    assert windows.rank_by(many, "v", buckets=7).where("rang <> 97 - v").count() == 0
+
+
 def test_jdbc(spark):
     url, driver = "jdbc:derby:memory:test;create=true", "org.apache.derby.jdbc.EmbeddedDriver"
     sinks.export_jdbc({"T1": spark.range(3)}, url, driver=driver)
