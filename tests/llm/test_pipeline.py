@@ -42,3 +42,30 @@ def test_near_duplicates_by_row(spark):
     assert sum(i is None and (t or "").startswith(d) for i, t in got) == 1
     rest = sorted((x for x in got if not (x[1] or "").startswith(d)), key=str)
     assert rest == sorted([(1, a), (2, b), (3, c), (6, ""), (7, ""), (8, None), (None, None)], key=str)
+
+
+def test_stages_with_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and long texts, ties, repeated rows, and columns that clash with names used inside."""
+    long_ = "the quick brown fox " * 6000
+    rows = [(1, None, None, None, None), (None, None, None, None, None), (2, "", "en", "a", 0), (2, "", "en", "a", 0), (None, "some words a@b.cd here", "en", None, 3), (3, long_, "en", "a", 9), (4, long_, None, "a", 9), (4, long_, None, "a", 9), (5, " \n ", "en", "b", 1), (None, "x y", "en", "b", 3), (None, "x y", "en", "b", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    clash = docs.withColumns({c: F.lit("clash") for c in ("score", "node", "th", "key", "pii_all", "pii_half", "n_lines_removed", "rid", "length", "i")})
+    for name, stage in corpus_pipeline.STAGES:
+        out, wide, none = (stage(spark, d, SF) for d in (docs, clash, docs.limit(0)))
+        assert none.count() == 0
+        assert sorted(out.columns) == sorted(wide.columns) == sorted(none.columns)
+        got = sorted(map(str, (r.asDict() for r in out.drop("sequence_id", "offset").collect())))
+        assert got == sorted(map(str, (r.asDict() for r in wide.drop("sequence_id", "offset").collect()))), name
+        if name == "quality":
+            continue  # which of these are good enough is the model's matter
+        if name == "lines":
+            assert out.count() == len(rows)
+            assert [r.text for r in out.where("doc_id IS NULL").orderBy("text").collect()] == [None, "some words a@b.cd here", "x y", "x y"]
+            assert [r.text for r in out.where("doc_id IN (3, 4)").orderBy("doc_id").collect()] == [long_, "", ""]
+        if name == "near-duplicates":
+            assert out.where("doc_id = 3").count() == 1 and out.where("doc_id = 4").count() == 0 and out.where("doc_id = 2").count() == 1
+        if name == "pii":
+            assert out.count() == len(rows) and out.where("text LIKE '%a@b.cd%'").count() == 0
+            assert out.where("text = 'some words [EMAIL] here' AND n_chars = 23").count() == 1
+        if name == "packing":
+            assert out.where("piece = 0").count() == len(rows)
