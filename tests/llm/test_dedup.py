@@ -212,6 +212,25 @@ def test_shingle_sets():
     assert lines.shingle_sets([], 10)[1].tolist() == []
 
 
+def test_sketches_keep_similar_lines():
+    r = random.Random(11)
+    vocab = [f"w{i}" for i in range(3000)]
+    pairs = []
+    for _ in range(800):
+        t = [r.choice(vocab) for _ in range(r.choice([5, 20, 70, 200]))]
+        u = [r.choice(vocab) if r.random() < 0.06 else w for w in t]
+        pairs.append((" ".join(t), " ".join(u)))
+    (n, a), (m, b) = (lines.sketches([p[k] for p in pairs], 10) for k in (0, 1))
+    near = 0
+    for k, (x, y) in enumerate(pairs):
+        x, y = ({z[p : p + 10] for p in range(max(1, len(z) - 9))} for z in (x, y))
+        assert (len(x), len(y)) == (n[k], m[k])
+        if 100 * len(x & y) >= 80 * len(x | y):
+            near += 1
+            assert sum(bin(int(v) & (2**64 - 1)).count("1") for v in a[k] ^ b[k]) <= 46
+    assert near > 200
+
+
 def test_line_hash_is_sparks(spark):
     rows = [("",), (" ",), ("é\U0001f600 x" * 9,), ("x" * 100,)]
     got = spark.createDataFrame(rows, "line string").select(F.xxhash64("line").alias("h"), "line").collect()
