@@ -1,7 +1,12 @@
 """A corpus from raw documents to packed sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written and read
-again before the next stage. All but the last return the columns of ``documents``.
+again before the next stage. All but the last return the columns of ``documents``; other
+columns of their input are dropped, whatever they are called. Rows may have nulls in any
+column: a null text has no lines, is no near-duplicate, holds no personal data and is
+one piece of one token; rows without an id take part like others. Equal rows (same id or
+none, same text) are all kept but by the third stage, which keeps one of them. An empty
+table gives an empty one.
 """
 
 from __future__ import annotations
@@ -22,14 +27,14 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is below 0.7 go."""
+    """Documents whose quality score is below 0.7 go; a null text is scored as an empty one."""
     small_batches(spark)
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.scored(docs, model, keep=COLUMNS).where("score >= 0.7").select(*COLUMNS)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of similar lines the first in the corpus stays; documents keep their other lines."""
+    """Of similar lines the first in the corpus stays; documents keep their other lines, and a null text stays null."""
     return _documents(lines.without_repeated_lines(docs.select(*COLUMNS)))
 
 
@@ -40,14 +45,14 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in texts is replaced by its kind in brackets."""
+    """Personal data in texts is replaced by its kind in brackets; a null text stays null."""
     table = pii.with_candidates(docs, keep=COLUMNS)
     found = pii.with_spans(table, pii.fit(table))
     return _documents(found.withColumn("text", pii.redacted(F.col("text"), F.col("pii_spans"))))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces and their places in sequences of 2048 tokens."""
+    """Token pieces and their places in sequences of 2048 tokens; each row of docs has its own pieces, also a repeated one."""
     small_batches(spark)
     return packing.pack(packing.pieces(docs, "doc_id", "text", public_tokenizers.path("word_bpe_49k.json"), 2048), 2048)
 
