@@ -194,7 +194,8 @@ def plan(histogram: np.ndarray, limit: int) -> tuple[dict[str, np.ndarray], int]
 def pack(found: DataFrame, limit: int = 2048, rows_per_salt: int = 500) -> DataFrame:
     """Adds ``sequence_id long, offset int`` to the rows of ``pieces``.
 
-    Empty input gives no rows. Equal rows get different places.
+    Empty input gives no rows. Equal rows get different places. A very long text is many
+    pieces of ``limit`` tokens, each a sequence of its own, and a last one packed like any other.
     """
     spark = found.sparkSession
     found = staged(found, "pieces")

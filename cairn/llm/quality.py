@@ -141,7 +141,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     The sample is by a hash of the id, so it is the same in every run; the driver gets
     only its statistics. Of repeated labels of one id the largest counts; labels or ids
-    that are null do not.
+    that are null do not. A document row that is repeated counts once for each copy, a null
+    text as an empty one; without labelled rows every score is 0.5.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label_col).alias("label"))
     n = known.count()
@@ -157,7 +158,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def scored(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None, score_col: str = "score") -> DataFrame:
     """The columns ``keep`` (all by default) of docs and ``score``, one row per row.
 
-    A column of docs that is itself called like the score is replaced.
+    A null text is scored as an empty one, whole texts are read whatever their length, and
+    equal texts have equal scores. A column of docs that is itself called like the score is replaced.
     """
     names = [c for c in (keep or docs.columns) if c != score_col]
     fields = [docs.schema[c] for c in names]

@@ -282,7 +282,10 @@ def pages(df: DataFrame, keep: tuple[str, ...] = ("id", "n_bytes", "media")) ->
 
 
 def with_features(df: DataFrame) -> DataFrame:
-    """Per page: digests of pixels and file, and the mean, spread and edge strength."""
+    """Per page: digests of pixels and file, and sums that give the mean, spread and edge strength.
+
+    Null pixels or a null file count as empty; every row gives one row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
@@ -290,7 +293,7 @@ def with_features(df: DataFrame) -> DataFrame:
         for b in batches:
             out: dict[str, list] = {k: [] for k in ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")}
             for pix, media in zip(b.column("pixels"), b.column("media"), strict=True):
-                pix, media = pix.as_py(), media.as_py()
+                pix, media = pix.as_py() or b"", media.as_py() or b""
                 a = np.frombuffer(pix, np.uint8)
                 hist = np.bincount(a, minlength=256)
                 edge = int(np.abs(np.diff(a.astype(np.int16))).sum())

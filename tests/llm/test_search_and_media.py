@@ -116,3 +116,9 @@ def test_top_k_repeated_rows(spark, block, tmp_path):
     v = vafile.quantised(df)
     got = vafile.top_k(v, v.where("vec_id % 50 = 0"), 5, block=block)
     assert sorted(map(tuple, got.collect())) == sorted(con.execute(queries.OP1_SQL).fetchall())
+
+
+def test_features_of_nothing(spark):
+    df = spark.createDataFrame([(1, 0, 0, None, None), (None, None, None, bytearray(b"ab"), bytearray(b"x"))], "id long, n_bytes long, page int, pixels binary, media binary")
+    out = sorted(tiff.with_features(df).collect(), key=lambda r: r.payload_bytes)
+    assert [(r.payload_bytes, r.media_bytes, r.feature) for r in out] == [(0, 0, "0:0:0:0"), (2, 1, "195:19013:1:2")]
