@@ -114,7 +114,7 @@ def measure_calendar_average(spark: SparkSession, sf: str) -> DataFrame:
     return measures.measure("moyenne_mobile_12m_cal")(_monthly(spark, sf))
 
 
-@_query("measure_seasonal_profile", f"WITH {core._MONTHLY}, g AS (SELECT mois, annee, avg(indice_saisonnalite) AS m FROM monthly GROUP BY 1, 2) SELECT mois, round(avg(m), 3) AS profil_saisonnier FROM g GROUP BY 1")
+@_query("measure_seasonal_profile", f"WITH {core._MONTHLY}, profile AS (SELECT mois, annee, avg(indice_saisonnalite) AS i FROM monthly GROUP BY 1, 2) SELECT mois, round(avg(i), 3) AS profil_saisonnier FROM profile GROUP BY 1")
 def measure_seasonal_profile(spark: SparkSession, sf: str) -> DataFrame:
     return measures.measure("profil_saisonnier")(_monthly(spark, sf))
 
