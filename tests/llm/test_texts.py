@@ -105,7 +105,7 @@ def test_pii_added_spans(spark):
     assert all(n for i, n in out.items() if i >= 1000)
 
 
-@pytest.mark.parametrize("n", [1, 63, 64, 65, 1000, 30_000])
+@pytest.mark.parametrize("n", [1, 64, 65, 5000])
 def test_pii_places_of_many_matches(spark, n):
     text = "".join(f"\U0001f600 {'x' * (i % 7)}1.2.3.{i % 300} é" for i in range(n))
     got = spark.createDataFrame([(text,)], "text string").select(pii.candidates(F.col("text"), "ip").alias("c")).first().c
