@@ -31,3 +31,11 @@ class Names:
 
     def names(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _mix((self.prefix[end] - self.prefix[start]) * self.down[start] + (end - start).astype(np.uint64))
+
+
+def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of a mask."""
+    held = np.zeros(len(mask) + 2, bool)
+    held[1:-1] = mask
+    edge = np.flatnonzero(held[1:] != held[:-1])
+    return edge[::2], edge[1::2]

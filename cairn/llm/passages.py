@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, discard, staged
-from .names import Names
+from .names import Names, runs
 
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _POS = np.uint64((1 << 20) - 1)
-#: Words of a slice.
-SLICE = 1 << 17
+#: Words of a slice, and the bytes for which the powers of the hash are kept; longer slices make their own.
+SLICE, MOST = 1 << 17, 1 << 20
 
 
 class Windows:
@@ -40,7 +40,7 @@ class Windows:
     def __init__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, words: int, gram: int) -> None:
         self.start, self.end, self.words = start - start[0], end - start[0], words
         own = data[start[0] : end[-1]]
-        self.names = Names(own, 1 << (len(own) + 1).bit_length())
+        self.names = Names(own, max(MOST, 1 << (len(own) + 1).bit_length()))
         n = len(start)
         grams = self.names.names(self.start[: n - gram + 1], self.end[gram - 1 :])
         key = (grams & ~_POS) | (_POS - np.arange(len(grams)).astype(np.uint64))
@@ -66,9 +66,7 @@ class Windows:
 
 def _slices(raw: bytes, words: int, gram: int) -> Iterator[Windows]:
     data = np.frombuffer(raw, np.uint8)
-    ink = ~_BLANK[data]
-    edge = np.diff(np.concatenate([[0], ink.view(np.int8), [0]]))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    start, end = runs(~_BLANK[data])
     for at in range(0, len(start) - words + 1, SLICE):
         part = slice(at, at + SLICE + words - 1)
         yield Windows(data, start[part], end[part], words, gram)

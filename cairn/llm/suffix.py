@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import passages
 from .common import broadcast_if_small, discard, staged
-from .names import Names
+from .names import Names, runs
 
 GRAM = 200
 SEGMENT = 1 << 19
@@ -99,12 +99,6 @@ def _segments(raw: bytes, length: int, gram: int, segment: int) -> Iterator[tupl
 _RUNS = [f"{k}_{e}" for k in ("covered", "wanted", "seen") for e in ("from", "to")]
 
 
-def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of a mask."""
-    edge = np.diff(np.concatenate([[0], mask.view(np.int8), [0]]))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-
-
 def _positions(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """All places within runs, in order."""
     n = end - start
@@ -174,8 +168,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     wanted[p + base] = True
                     seen[other + base] = True
                 for k, mask in enumerate((covered, wanted, seen)):
-                    for held, runs in zip(out[2 * k : 2 * k + 2], _runs(mask), strict=True):
-                        held.append(runs)
+                    for held, ends in zip(out[2 * k : 2 * k + 2], runs(mask), strict=True):
+                        held.append(ends)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rid", "th", "raw")), *(_lists(x, pa.int64()) for x in out)], ["rid", "th", "raw", *_RUNS])
 
     def named(kinds: tuple[str, ...]):
