@@ -41,13 +41,14 @@ def types(df):
 
 def test_op2(spark, docs):
     df = Q["op2_pii"](spark, SF)
-    assert types(df) == {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"}
+    assert types(df) == {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string", "n_spans": "bigint"}
     got = {r.doc_id: r for r in df.collect()}
     for i, t in docs:
         base = base_spans(t)
         assert got[i].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
         assert [got[i][f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [base.count(f"{k}:") for k in ("email", "ip", "card", "phone")]
         assert set(filter(None, base.split(","))) <= set(got[i].spans.split(","))
+        assert got[i].n_spans == len(list(filter(None, got[i].spans.split(","))))
 
 
 def test_op3(spark, docs):
