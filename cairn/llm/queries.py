@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, minhash, packing, pii, quality, suffix, tiff, vafile, warc
+from . import bpe, lexical, lines, minhash, packing, pii, quality, suffix, tiff, vafile, warc
 from .common import small_batches
 
 
@@ -104,6 +104,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model, keep=["doc_id"]).select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of each benchmark item by weighted terms."""
+    small_batches(spark)
+    return lexical.search(lexical.build(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"), k=20)
+
+
 OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 k AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keeper, upper(sha1(h)) AS hex FROM p),
@@ -130,10 +136,24 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+t AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+m AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM n, t),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, t GROUP BY term, docs),
+i AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+r AS (SELECT item_id, term, count(*) AS r FROM i GROUP BY ALL),
+s AS (SELECT item_id, doc_id, CAST(sum(r * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score FROM r JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 20
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_top_k": op1_top_k, "op2_pii": op2_pii, "op3_bpe": op3_bpe, "op4_warc": op4_warc, "op5_repeats": op5_repeats, "op6_minhash": op6_minhash, "op7_tiff": op7_tiff, "op8_lines": op8_lines, "op9_packing": op9_packing, "op10_quality": op10_quality}
+    return {"op1_top_k": op1_top_k, "op2_pii": op2_pii, "op3_bpe": op3_bpe, "op4_warc": op4_warc, "op5_repeats": op5_repeats, "op6_minhash": op6_minhash, "op7_tiff": op7_tiff, "op8_lines": op8_lines, "op9_packing": op9_packing, "op10_quality": op10_quality, "op11_lexical": op11_lexical}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": OP1_SQL, "op4_warc": OP4_SQL}
+    return {"op1_top_k": OP1_SQL, "op4_warc": OP4_SQL, "op11_lexical": OP11_SQL}
