@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lexical, lines, minhash, packing, pii, quality, suffix, tiff, vafile, warc
+from . import binpack, bpe, lexical, lines, minhash, negatives, packing, pii, quality, suffix, tiff, vafile, warc
 from .common import small_batches
 
 
@@ -110,6 +110,21 @@ def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(lexical.build(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the anchors, from all vectors with a label; every seventh row has a wrong one."""
+    small_batches(spark)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.labelled(_table(spark, sf_dir, "embeddings"), label=label), F.col("vec_id") % 100 == 0)
+
+
+def op13_instruction_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces in sequences of 2048 tokens, at most 256 segments each."""
+    small_batches(spark, 4096)
+    limits = binpack.Limits(tokens=2048, segments=256, loss=2048)
+    table = binpack.pieces(_table(spark, sf_dir, "documents"), "doc_id", public_tokenizers.path("byte_bpe_50k.json"), text_col="text", limits=limits, end_id=1)
+    return binpack.pack(table, limits)
+
+
 OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 k AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keeper, upper(sha1(h)) AS hex FROM p),
@@ -150,10 +165,28 @@ o AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 20
 """
 
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(coalesce(list_sum(list_transform(list_zip(a.e, c.e), lambda z: z[1] * z[2])), 0) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(a.e) = len(c.e)),
+g AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM p WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM g JOIN p USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_top_k": op1_top_k, "op2_pii": op2_pii, "op3_bpe": op3_bpe, "op4_warc": op4_warc, "op5_repeats": op5_repeats, "op6_minhash": op6_minhash, "op7_tiff": op7_tiff, "op8_lines": op8_lines, "op9_packing": op9_packing, "op10_quality": op10_quality, "op11_lexical": op11_lexical}
+    return {"op1_top_k": op1_top_k, "op2_pii": op2_pii, "op3_bpe": op3_bpe, "op4_warc": op4_warc, "op5_repeats": op5_repeats, "op6_minhash": op6_minhash, "op7_tiff": op7_tiff, "op8_lines": op8_lines, "op9_packing": op9_packing, "op10_quality": op10_quality, "op11_lexical": op11_lexical, "op12_negatives": op12_negatives, "op13_instruction_packing": op13_instruction_packing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": OP1_SQL, "op4_warc": OP4_SQL, "op11_lexical": OP11_SQL}
+    return {"op1_top_k": OP1_SQL, "op4_warc": OP4_SQL, "op11_lexical": OP11_SQL, "op12_negatives": OP12_SQL}
