@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.functions.numbers import ratio, stddev  # noqa: F401
+from cairn.sources.scratch import written
 
 DISTRIBUTION = {"count": lambda v: F.count(F.lit(1)), "avg": lambda v: F.round(F.avg(v), 1), "median": F.median, "approx_median": lambda v: F.percentile_approx(v, 0.5, 1000), "min": F.min, "max": F.max, "sum": F.sum}
 
@@ -22,6 +24,11 @@ def profile(df: DataFrame, by: Sequence[str], value: str | None = None, flags: M
     return df.groupBy(*by).agg(*aggs, *(c.alias(n) for n, c in (more or {}).items()))
 
 
+def grouped(df: DataFrame, by: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
+    """One row per group."""
+    return df.groupBy(*by).agg(*(c.alias(n) for n, c in aggs.items()))
+
+
 def grand_total(df: DataFrame, aggs: Mapping[str, Column]) -> DataFrame:
     """One row (A9)."""
     return df.agg(*(c.alias(n) for n, c in aggs.items()))
@@ -61,6 +68,42 @@ def exact_median(df: DataFrame, by: Sequence[str], col: str, name: str = "median
     return df.groupBy(*by).agg(F.median(col).alias(name))
 
 
+def exact_quantile(df: DataFrame, by: Sequence[str], col: str, rank: float = 0.5, name: str = "quantile", values: int = 10_000, bins: int = 1024) -> DataFrame:
+    """``by, name``: the exact quantile of a number, interpolated as ``percentile`` does, without a group's values in one task.
+
+    The one or two places in a group's order that the quantile lies at are sought alone.
+    Each pass counts the values of a place's range in ``bins`` bins and narrows the range
+    to the values of the bin that holds the place, until no range has more than ``values``
+    different values; these are counted and sorted. Groups with nulls only have a null.
+    """
+    known = df.select(*by, F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    own = [*by, "place", "part", "below"]
+
+    def match(a: str, b: str) -> Column:
+        return reduce(lambda x, y: x & y, (F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in by), F.lit(True))
+
+    def inside(state: DataFrame, *more: Column) -> DataFrame:
+        joined = known.alias("k").join(state.alias("s"), match("k", "s") & F.col("__v").between(F.col("lo"), F.col("hi")))
+        return joined.groupBy(*(F.col(f"s.{c}").alias(c) for c in own), *more)
+
+    def upto(order: str) -> Column:
+        return F.col("below") + F.sum("c").over(Window.partitionBy(*by, "place").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+
+    at = (F.col("n") - 1) * F.lit(float(rank))
+    seen = [F.min("__v").alias("lo"), F.max("__v").alias("hi"), F.approx_count_distinct("__v").alias("d")]
+    places = F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at)))).alias("place")
+    state = written(known.groupBy(*by).agg(*seen, F.count(F.lit(1)).alias("n")).select(*by, places, (at - F.floor(at)).alias("part"), F.lit(0).cast("long").alias("below"), "lo", "hi", "d"), "quantile-ranges")
+    while state.where((F.col("d") > values) & (F.col("lo") < F.col("hi"))).limit(1).count():
+        width = F.when(F.col("hi") > F.col("lo"), F.col("hi") - F.col("lo")).otherwise(1.0)
+        counts = inside(state, F.least(F.floor((F.col("__v") - F.col("lo")) / width * bins), F.lit(bins - 1)).alias("b")).agg(*seen, F.count(F.lit(1)).alias("c"))
+        held = counts.withColumn("e", upto("b")).where((F.col("e") > F.col("place")) & (F.col("e") - F.col("c") <= F.col("place")))
+        state = written(held.withColumn("below", F.col("e") - F.col("c")).select(*state.columns), "quantile-ranges")
+    each = inside(state, F.col("__v").alias("v")).agg(F.count(F.lit(1)).alias("c")).withColumn("e", upto("v"))
+    picked = each.where((F.col("e") > F.col("place")) & (F.col("e") - F.col("c") <= F.col("place"))).groupBy(*by).agg(F.min("v").alias("a"), F.max("v").alias("b"), F.first("part").alias("part"))
+    found = picked.select(*by, (F.col("a") * (1 - F.col("part")) + F.col("b") * F.col("part")).alias(name))
+    return df.select(*by).distinct().alias("k").join(found.alias("s"), match("k", "s"), "left").select(*(F.col(f"k.{c}") for c in by), name)
+
+
 def mean_of_means(df: DataFrame, by: Sequence[str], inner: Sequence[str], value: str, name: str = "mean") -> DataFrame:
     """The average of the inner groups' averages."""
     return df.groupBy(*by, *inner).agg(F.avg(value).alias("__m")).groupBy(*by).agg(F.avg("__m").alias(name))

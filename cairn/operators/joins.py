@@ -10,13 +10,34 @@ from pyspark.sql import functions as F
 
 from cairn.functions.text import zfill
 
-#: A dimension of up to this many rows is broadcast; beyond it Spark picks the join.
+#: A dimension of up to this many rows and bytes is broadcast; beyond it Spark picks the join.
 SMALL_ROWS = 500_000
+SMALL_BYTES = 32 << 20
+#: So many brackets are compared with every row; more are joined by bins.
+FEW_BRACKETS = 1_000
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory: texts and binaries by their length, nested columns by that of their JSON, others as 8."""
+
+    def size(name: str, kind: str) -> Column:
+        c = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        return F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0)) if kind.startswith(("array", "map", "struct")) else F.lit(8)
+
+    return reduce(lambda a, b: a + b, (size(n, k) for n, k in df.dtypes), F.lit(16))
 
 
 def small(dim: DataFrame, rows: int | None = None) -> DataFrame:
-    """The frame marked for broadcast if it is known to have no more than SMALL_ROWS rows, else as it is."""
-    return F.broadcast(dim) if (dim.limit(SMALL_ROWS + 1).count() if rows is None else rows) <= SMALL_ROWS else dim
+    """The frame marked for broadcast if it has no more than SMALL_ROWS rows and SMALL_BYTES bytes, else as it is.
+
+    Unless ``rows`` is known this looks at the frame, no further than that many rows.
+    """
+    if rows is None:
+        seen = dim.select(row_bytes(dim).alias("b")).limit(SMALL_ROWS + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+        return F.broadcast(dim) if seen.n <= SMALL_ROWS and seen.b <= SMALL_BYTES else dim
+    return F.broadcast(dim) if rows <= SMALL_ROWS else dim
 
 
 def enrich(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str, cols: Sequence[str], pad: int | None = None) -> DataFrame:
@@ -51,9 +72,34 @@ def month_relation(calendar: DataFrame, key: str = "AnMois") -> DataFrame:
     return calendar.select(key).distinct()
 
 
-def bracket_join(df: DataFrame, col: str, rules: DataFrame, lo: str, hi: str, how: str = "left") -> DataFrame:
-    """The rule whose closed bracket holds the value; the rule table is small."""
-    return df.join(small(rules), F.col(col).between(F.col(lo), F.col(hi)), how)
+def _as_number(df: DataFrame, c: str) -> Column:
+    """A column as a double that keeps its order."""
+    kind = dict(df.dtypes)[c]
+    return (F.unix_date(c) if kind == "date" else F.unix_micros(c) if kind == "timestamp" else F.col(c)).cast("double")
+
+
+def bracket_join(df: DataFrame, col: str, rules: DataFrame, lo: str, hi: str, how: str = "left", few: int = FEW_BRACKETS) -> DataFrame:
+    """Every rule whose closed bracket holds the value; ``how`` is left or inner.
+
+    Up to ``few`` rules are broadcast and compared. More are binned: a rule belongs to the
+    level whose bins, a power of two wide, are just wider than its bracket, so it lies in
+    at most two of them, however wide it is. The different values look into their bin of
+    each level that occurs, by an equal join, and rows find their value's rules. Values
+    are numbers, dates or timestamps. Brackets that are empty or have a null end hold nothing.
+    """
+    held = rules.limit(few + 1).count()
+    if held <= few:
+        return df.join(F.broadcast(rules), F.col(col).between(F.col(lo), F.col(hi)), how)
+    at = lambda v: F.floor(v / F.pow(F.lit(2.0), F.col("__level"))).cast("double")
+    first, last = _as_number(rules, lo), _as_number(rules, hi)
+    level = F.greatest(F.ceil(F.log2(F.greatest(last - first, F.lit(1e-9)))), F.lit(-20)).cast("int")
+    leveled = rules.where(F.col(lo) <= F.col(hi)).withColumn("__level", level)
+    levels = sorted(r["__level"] for r in leveled.select("__level").distinct().collect())
+    binned = leveled.withColumn("__bin", F.explode(F.array_distinct(F.array(at(first), at(last)))))
+    value = df.select(F.col(col).alias("__value")).where(F.col("__value").isNotNull()).distinct()
+    probes = value.withColumn("__level", F.explode(F.array(*map(F.lit, levels)))).withColumn("__bin", at(_as_number(value, "__value")))
+    found = probes.join(binned, ["__level", "__bin"]).where(F.col("__value").between(F.col(lo), F.col(hi))).drop("__level", "__bin")
+    return df.join(found, F.col(col) == F.col("__value"), how).drop("__value")
 
 
 def prior_period(df: DataFrame, keys: Sequence[str], period_col: str, shift: int, value: str, name: str | None = None) -> DataFrame:

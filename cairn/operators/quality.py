@@ -117,3 +117,49 @@ def cardinality(fact: DataFrame, source: DataFrame) -> DataFrame:
     """Rows of both and whether they are as many (Q11)."""
     both = fact.agg(F.count(F.lit(1)).alias("n_fact")).crossJoin(source.agg(F.count(F.lit(1)).alias("n_source")))
     return both.withColumn("equal", F.col("n_fact") == F.col("n_source"))
+
+
+def _marked(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """Keys, a hash of the key, and one of the whole row; values are compared as text, nulls as values."""
+    text = lambda names: F.xxhash64(*(x for c in names for x in (F.col(c).cast("string"), F.col(c).isNull())))
+    return df.select(*keys, text(keys).alias("__k"), text([*keys, *cols]).alias("__h"))
+
+
+def _print() -> list[Column]:
+    """An order-free fingerprint of the rows of a group: their number, and sum and exclusive or of their hashes."""
+    return [F.count(F.lit(1)).alias("n"), F.sum(F.col("__h").cast("decimal(20,0)")).alias("total"), F.bit_xor("__h").alias("bits")]
+
+
+def fingerprints(df: DataFrame, by: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
+    """``by, n, total, bits``: a fingerprint of the rows of each group that does not depend on their order (Q10)."""
+    rest = [c for c in (df.columns if cols is None else cols) if c not in by]
+    return _marked(df, by, rest).groupBy(*by).agg(*_print())
+
+
+def differing_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None, fan: int = 64, levels: int = 2) -> DataFrame:
+    """``keys, status``: keys whose rows are not the same in both frames: only_left, only_right or different (Q10, Q11).
+
+    Rows are compared by fingerprints of ranges of the keys' hash: ``fan`` ranges first,
+    then ``fan`` within each that differs, and so on for ``levels`` rounds or until most
+    differ. Only the rows of the last ranges that differ are shuffled by key; equal frames
+    are summed up and nothing more. Repeated keys count with all their rows, null keys as
+    values. At most ``fan ** levels`` numbers of ranges come to the driver.
+    """
+    rest = [c for c in (left.columns if cols is None else cols) if c not in keys]
+    sides = [_marked(df, keys, rest) for df in (left, right)]
+    parts, bad = 1, [0]
+    for _ in range(levels):
+        parts *= fan
+        at = F.pmod(F.col("__k"), F.lit(parts)).cast("int")
+        prints = [s.groupBy(at.alias("__at")).agg(*_print()) for s in sides]
+        same = F.col("l.n").eqNullSafe(F.col("r.n")) & F.col("l.total").eqNullSafe(F.col("r.total")) & F.col("l.bits").eqNullSafe(F.col("r.bits"))
+        both = prints[0].alias("l").join(prints[1].alias("r"), F.col("l.__at") == F.col("r.__at"), "full").where(~same)
+        bad = sorted(r[0] for r in both.select(F.coalesce("l.__at", "r.__at")).collect())
+        sides = [s.where(at.isin(bad)) for s in sides] if bad else [s.limit(0) for s in sides]
+        if not bad or len(bad) > parts // 2:
+            break
+    one, other = (s.groupBy(*keys).agg(*_print()) for s in sides)
+    match = reduce(lambda a, b: a & b, (F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys))
+    joined = one.alias("l").join(other.alias("r"), match, "full")
+    status = F.when(F.col("r.n").isNull(), "only_left").when(F.col("l.n").isNull(), "only_right").when((F.col("l.n") != F.col("r.n")) | (F.col("l.total") != F.col("r.total")) | (F.col("l.bits") != F.col("r.bits")), "different")
+    return joined.select(*(F.when(F.col("l.n").isNotNull(), F.col(f"l.{k}")).otherwise(F.col(f"r.{k}")).alias(k) for k in keys), status.alias("status")).where("status IS NOT NULL")

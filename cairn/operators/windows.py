@@ -1,19 +1,22 @@
 """Window metrics.
 
 Metrics over a whole table join one broadcast row of totals. Ordered metrics without
-partition columns (W9-W12, W16, W17) are for series such as months, which have few rows.
+partition columns (W10, W11, W16, W17) are computed in ranges of the order
+(``ranges``); ``few`` says that the series is short whatever the records, such as one
+of months, and so needs no look at its size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from cairn.functions.numbers import ratio, stddev
 
+from . import ranges
 from .aggregates import with_totals
 
 _ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
@@ -52,6 +55,28 @@ def survival_index(df: DataFrame, value: str, by: Sequence[str], order: Sequence
     return held.withColumn(name, F.round(1 - ratio("__c", "__t"), digits)).drop("__c", "__t")
 
 
+def zscore(col: str, mean: str, deviation: str, digits: int = 3) -> Column:
+    """The z-score by columns that hold mean and deviation; null without spread."""
+    return F.when(F.col(deviation) > 0, F.round((F.col(col) - F.col(mean)) / F.col(deviation), digits))
+
+
+def with_few_spreads(df: DataFrame, col: str, keys: Sequence[str], ddof: int = 1) -> DataFrame:
+    """Every row with ``__total`` of a column and, for each key, ``__m_<key>, __s_<key>``: mean and deviation of its group.
+
+    All of them come from one pass over df with grouping sets, as one broadcast row that
+    holds a map per key. Keys must not be null and must take few values, such as ages.
+    """
+    wanted = [[k] for k in keys] + [[]]
+    aggs = (F.sum(col).alias("__t"), F.avg(col).alias("__m"), stddev(col, ddof).alias("__s"))
+    sets = df.groupingSets(wanted, *keys).agg(*aggs, *(F.grouping(k).alias(f"__g_{k}") for k in keys))
+    entry = lambda k: F.when(F.col(f"__g_{k}") == 0, F.struct(F.col(k), F.struct("__m", "__s")))
+    total = F.max(F.when(reduce(lambda a, b: a & b, (F.col(f"__g_{k}") == 1 for k in keys)), F.col("__t")))
+    row = sets.agg(total.alias("__total"), *(F.map_from_entries(F.collect_list(entry(k))).alias(f"__of_{k}") for k in keys))
+    held = df.crossJoin(F.broadcast(row))
+    out = {f"{p}_{k}": F.col(f"__of_{k}")[F.col(k)][p] for k in keys for p in ("__m", "__s")}
+    return held.withColumns(out).drop(*(f"__of_{k}" for k in keys))
+
+
 def zscore_flag(df: DataFrame, col: str, by: Sequence[str] | None = None, threshold: float = 2.5, ddof: int = 1, default: float | None = None, z_col: str | None = None, flag_col: str | None = "anomalie", digits: int = 3) -> DataFrame:
     """z-score over a group or the whole table, and whether its size is above ``threshold``.
 
@@ -84,14 +109,21 @@ def period_change(df: DataFrame, value: str, by: Sequence[str], order: Sequence[
     return held.withColumns(out).drop("__b")
 
 
-def moving_average(df: DataFrame, value: str, order: Sequence[str], rows: int = 12, by: Sequence[str] = (), digits: int = 1, name: str = "moyenne_mobile") -> DataFrame:
+def _ordered(df: DataFrame, order: str, by: Sequence[str], few: bool, columns: ranges.Columns, across: Callable[..., DataFrame], before: float, after: float = 0) -> DataFrame:
+    """Window columns within groups, over a short series, or across ranges of the whole order."""
+    if by or few:
+        return df.withColumns(dict(columns(Window.partitionBy(*by).orderBy(order))))
+    return across(df, order, columns, before, after)
+
+
+def moving_average(df: DataFrame, value: str, order: str, rows: int = 12, by: Sequence[str] = (), digits: int = 1, name: str = "moyenne_mobile", few: bool = False) -> DataFrame:
     """The mean of the last ``rows`` rows."""
-    return df.withColumn(name, F.round(F.avg(value).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(1 - rows, 0)), digits))
+    return _ordered(df, order, by, few, lambda w: {name: F.round(F.avg(value).over(w.rowsBetween(1 - rows, 0)), digits)}, ranges.over_rows, rows - 1)
 
 
-def calendar_moving_average(df: DataFrame, value: str, month_index: str, months: int = 12, by: Sequence[str] = (), digits: int = 1, name: str = "moyenne_mobile_cal") -> DataFrame:
+def calendar_moving_average(df: DataFrame, value: str, month_index: str, months: int = 12, by: Sequence[str] = (), digits: int = 1, name: str = "moyenne_mobile_cal", few: bool = False) -> DataFrame:
     """The mean over the last ``months`` calendar months; missing months do not count."""
-    return df.withColumn(name, F.round(F.avg(value).over(Window.partitionBy(*by).orderBy(month_index).rangeBetween(1 - months, 0)), digits))
+    return _ordered(df, month_index, by, few, lambda w: {name: F.round(F.avg(value).over(w.rangeBetween(1 - months, 0)), digits)}, ranges.over_values, months - 1)
 
 
 def seasonality_index(df: DataFrame, value: str, year: str, months: int = 12, strict: bool = False, digits: int = 3, name: str = "indice_saisonnalite") -> DataFrame:
@@ -101,29 +133,34 @@ def seasonality_index(df: DataFrame, value: str, year: str, months: int = 12, st
     return df.withColumn("__m", F.round(F.sum(value).over(w) / n, 1)).withColumn(name, ratio(value, "__m", 1, digits)).drop("__m")
 
 
-def rank_by(df: DataFrame, col: str, by: Sequence[str] = (), descending: bool = True, name: str = "rang", buckets: int = 1024) -> DataFrame:
+def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    side = right.withColumnsRenamed({c: f"__k_{c}" for c in on})
+    return left.join(side, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in on))).drop(*(f"__k_{c}" for c in on))
+
+
+def rank_by(df: DataFrame, col: str, by: Sequence[str] = (), descending: bool = True, name: str = "rang", range_rows: int = ranges.RANGE_ROWS, few: bool | None = None) -> DataFrame:
     """Dense rank of a number (W14), nulls last.
 
-    The different values are dealt into ``buckets`` ranges of equal width and numbered
-    there; each range starts after the counts of those before it, so that no task holds
-    all values of a group.
+    A frame of up to ``range_rows`` rows (``few``, if known) is one window. Otherwise the
+    different values of the groups are numbered within ranges that hold about as many of
+    them each, however they are distributed, and each range starts after the counts of
+    the group's ranges before it; rows get their value's number by a join. No task holds
+    all values of a group, or all rows of a value.
     """
-    lo, hi = F.col("__lo").cast("double"), F.col("__hi").cast("double")
-    at = F.when(hi > lo, F.floor((F.col(col).cast("double") - lo) * buckets / (hi - lo))).otherwise(0)
-    at = F.when(F.col(col).isNull(), buckets + 1).otherwise(buckets - at if descending else at).cast("int")
-    values = with_totals(df.select(*by, col).distinct(), {"__lo": F.min(col), "__hi": F.max(col)}).withColumn("__at", at).drop("__lo", "__hi")
-    counts = values.groupBy(*by, "__at").agg(F.count(F.lit(1)).alias("__c"))
+    order = F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
+    if ranges.holds_at_most(df, range_rows) if few is None else few:
+        return df.withColumn(name, F.dense_rank().over(Window.partitionBy(*by).orderBy(order)).cast("int"))
+    values = df.select(*by, col).distinct()
+    ends = ranges.boundaries(values, col, range_rows)
+    last = len(ends) + 2
+    cut = ranges.dealt(values, col, ends, "__at")
+    cut = cut.withColumn("__at", F.when(F.col("__at") < 0, last).otherwise(F.lit(last - 1) - F.col("__at") if descending else F.col("__at")))
+    counts = cut.groupBy(*by, "__at").agg(F.count(F.lit(1)).alias("__c"))
     before = Window.partitionBy(*by).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
     start = counts.select(*by, "__at", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__b"))
-
-    def joined(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-        side = right.withColumnsRenamed({c: f"__k_{c}" for c in on})
-        return left.join(side, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in on))).drop(*(f"__k_{c}" for c in on))
-
-    order = F.col(col).desc_nulls_last() if descending else F.col(col).asc_nulls_last()
-    own = values.withColumn("__r", F.row_number().over(Window.partitionBy(*by, "__at").orderBy(order)))
-    ranks = joined(own, start, [*by, "__at"]).select(*by, col, (F.col("__r") + F.col("__b")).cast("int").alias(name))
-    return joined(df, ranks, [*by, col])
+    own = cut.withColumn("__r", F.row_number().over(Window.partitionBy(*by, "__at").orderBy(order)))
+    ranks = _null_safe_join(own, start, [*by, "__at"]).select(*by, col, (F.col("__r") + F.col("__b")).cast("int").alias(name))
+    return _null_safe_join(df, ranks, [*by, col])
 
 
 def survival_probability(df: DataFrame, by: Sequence[str], age: str, value: str, digits: int = 4) -> DataFrame:
@@ -132,15 +169,19 @@ def survival_probability(df: DataFrame, by: Sequence[str], age: str, value: str,
     return held.withColumns({"part_cumul": ratio("cumul", "__t", 1, digits), "probabilite_survie": F.round(1 - ratio("cumul", "__t"), digits)}).drop("__t")
 
 
-def neighbour_mean(df: DataFrame, order: str, value: str, radius: int = 3, by: Sequence[str] = (), digits: int = 2, name: str = "moyenne_voisins") -> DataFrame:
+def neighbour_mean(df: DataFrame, order: str, value: str, radius: int = 3, by: Sequence[str] = (), digits: int = 2, name: str = "moyenne_voisins", few: bool = False) -> DataFrame:
     """The mean of the rows within ``radius`` of the order column, without the row itself."""
-    w = Window.partitionBy(*by).orderBy(order).rangeBetween(-radius, radius)
-    return df.withColumn(name, ratio(F.sum(value).over(w) - F.coalesce(F.col(value), F.lit(0)), F.count(value).over(w) - F.col(value).isNotNull().cast("int"), digits=digits))
+
+    def columns(w: WindowSpec) -> dict[str, Column]:
+        w = w.rangeBetween(-radius, radius)
+        return {name: ratio(F.sum(value).over(w) - F.coalesce(F.col(value), F.lit(0)), F.count(value).over(w) - F.col(value).isNotNull().cast("int"), digits=digits)}
+
+    return _ordered(df, order, by, few, columns, ranges.over_values, radius, radius)
 
 
-def previous_group_gap(df: DataFrame, order: str, value: str, digits: int = 2, name: str = "ecart_precedent") -> DataFrame:
+def previous_group_gap(df: DataFrame, order: str, value: str, digits: int = 2, name: str = "ecart_precedent", few: bool = False) -> DataFrame:
     """Difference to the group before in order."""
-    return df.withColumn(name, F.round(F.col(value) - F.lag(value).over(Window.orderBy(order)), digits))
+    return _ordered(df, order, (), few, lambda w: {name: F.round(F.col(value) - F.lag(value).over(w), digits)}, ranges.over_rows, 1)
 
 
 def control_limits(df: DataFrame, value: str, k: float = 2, digits: int = 2) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +38,15 @@ def _sex_shares(df: DataFrame) -> DataFrame:
     return df.withColumns({"pct_hommes": numbers.ratio("nb_hommes", known, 100, 2), "pct_femmes": numbers.ratio("nb_femmes", known, 100, 2)})
 
 
+def profile_of_states(states: DataFrame, by: Sequence[str], limits: Limits = Limits(), ages: Mapping[str, str] | None = None, senior: bool = False, more: Mapping[str, Column] | None = None) -> DataFrame:
+    """The counts of ``aggregates.profile`` from rows that stand for ``n`` records each, with statistics of their age."""
+    n, age = F.col("n"), F.col("age_au_deces")
+    count = lambda cond: F.coalesce(F.sum(F.when(cond, n)), F.lit(0).cast("long"))
+    stats = {"avg": lambda: F.round(F.sum(age * n) / F.sum(F.when(age.isNotNull(), n)), 1), "median": lambda: F.percentile(age, 0.5, n), "min": lambda: F.min(age), "max": lambda: F.max(age)}
+    aggs = {"nb_deces": F.sum(n), **{c: stats[s]() for c, s in (ages or {}).items()}, **{c: count(p) for c, p in _flags(limits, senior).items()}, **(more or {})}
+    return aggregates.grouped(states, by, aggs)
+
+
 def with_keys(records: DataFrame) -> DataFrame:
     """The fact table: records with the keys of the four aggregates."""
     death = dates.period_key("annee_deces", "mois_deces")
@@ -56,7 +66,11 @@ def by_age(records: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row per age and month."""
     known = rows.require(records, ["age_au_deces", "annee_deces", "mois_deces"])
     keyed = known.withColumns({"age": F.col("age_au_deces"), "id_date": dates.period_key("annee_deces", "mois_deces")})
-    agg = aggregates.profile(keyed, ["age", "id_date"], flags=_flags(limits), stats={"nb_deces": "count"})
+    return finish_age(aggregates.profile(keyed, ["age", "id_date"], flags=_flags(limits), stats={"nb_deces": "count"}), limits)
+
+
+def finish_age(agg: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Shares, weighted ages, survival and flags of counts by age and month."""
     agg = _sex_shares(agg).withColumns({"key_age": rows.composite_key(["age", "id_date"]), "ratio_h_f": numbers.ratio("nb_hommes", "nb_femmes", 1, 3)})
     agg = windows.share_of_total(agg, "nb_deces", digits=4)
     agg = windows.weighted_mean_over(agg, "age", "nb_deces", ["id_date"], name="age_moyen")
@@ -75,10 +89,15 @@ def by_month(records: DataFrame, limits: Limits = Limits(), exact: bool = True)
     """
     known = rows.require(records, ["annee_deces", "mois_deces"]).withColumnsRenamed({"annee_deces": "annee", "mois_deces": "mois"})
     stats = {"nb_deces": "count", "age_moyen": "avg", "age_median": "median" if exact else "approx_median", "age_min": "min", "age_max": "max"}
-    agg = _sex_shares(aggregates.profile(known, ["annee", "mois"], "age_au_deces", _flags(limits), stats))
+    return finish_month(aggregates.profile(known, ["annee", "mois"], "age_au_deces", _flags(limits), stats), limits)
+
+
+def finish_month(agg: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Change, moving average, seasonality and anomaly flag of counts by month."""
+    agg = _sex_shares(agg)
     agg = agg.withColumn("AnMois", dates.period_key("annee", "mois"))
     agg = windows.period_change(agg, "nb_deces", ["mois"], ["annee"], "variation_vs_n_1", "variation_pct")
-    agg = windows.moving_average(agg, "nb_deces", ["AnMois"], name="moyenne_mobile_12m")
+    agg = windows.moving_average(agg, "nb_deces", "AnMois", name="moyenne_mobile_12m", few=True)
     agg = windows.seasonality_index(agg, "nb_deces", "annee")
     agg = windows.zscore_flag(agg, "nb_deces", threshold=limits.monthly_z, z_col="z_score", flag_col="anomalie_flag")
     return agg.select(
@@ -91,7 +110,12 @@ def by_place(records: DataFrame, places: DataFrame, limits: Limits = Limits(), e
     """One row per place, with rates by the place's population and area."""
     known = rows.require(records, ["code_lieu_deces"])
     stats = {"nb_deces": "count", "age_moyen_deces": "avg", "age_median_deces": "median" if exact else "approx_median", "age_min": "min", "age_max": "max"}
-    agg = _sex_shares(aggregates.profile(known, ["code_lieu_deces"], "age_au_deces", _flags(limits, senior=True), stats))
+    return finish_place(aggregates.profile(known, ["code_lieu_deces"], "age_au_deces", _flags(limits, senior=True), stats), places, limits)
+
+
+def finish_place(agg: DataFrame, places: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Rates by population and area, and the anomaly flag, of counts by place."""
+    agg = _sex_shares(agg)
     agg = joins.enrich(agg, places, "code_lieu_deces", "id_commune", ["id_commune", "population_commune", "superficie_commune"], pad=5)
     agg = agg.withColumns(
         {
@@ -114,14 +138,29 @@ def by_cohort(records: DataFrame, limits: Limits = Limits()) -> DataFrame:
     keyed = rows.in_range(known.withColumn("annee_naissance", F.year("date_naissance")), "annee_naissance", limits.first_birth, limits.last_birth)
     keyed = keyed.withColumns({"id_date": dates.period_key("annee_naissance", F.month("date_naissance")), "age": F.col("age_au_deces"), "id_commune": text.zfill("code_lieu_deces")})
     span = {"annee_deces_min": F.min("annee_deces"), "annee_deces_max": F.max("annee_deces")}
-    agg = _sex_shares(aggregates.profile(keyed, ["id_date", "annee_naissance", "age", "id_commune"], flags=_flags(limits, senior=True), stats={"nb_deces": "count"}, more=span))
+    return finish_cohort(aggregates.profile(keyed, ["id_date", "annee_naissance", "age", "id_commune"], flags=_flags(limits, senior=True), stats={"nb_deces": "count"}, more=span), limits)
+
+
+def finish_cohort(agg: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """Shares, ages, trend and flags of counts by month of birth, age and place.
+
+    The total and the spreads by age and by year of birth come from one pass over the
+    counts; ages and years are few, whatever the records.
+    """
+    agg = _sex_shares(agg)
     # the group's age is its records' mean, median, least and greatest age
     agg = agg.withColumns({"age_moyen_deces": F.round(F.col("age").cast("double"), 1), "age_median_deces": F.col("age").cast("double"), "age_min": F.col("age"), "age_max": F.col("age")})
     agg = agg.withColumns({"key_generation": rows.composite_key(["id_date", "age", "id_commune"]), "ratio_h_f": numbers.ratio("nb_hommes", "nb_femmes", 1, 3), "indice_vieillissement": numbers.ratio("_nb_seniors", "nb_deces", 100, 2)})
-    agg = windows.share_of_total(agg, "nb_deces", digits=5)
-    agg = windows.zscore_flag(agg, "nb_deces", ["age"], default=0.0, z_col="surmortalite", flag_col=None)
+    agg = windows.with_few_spreads(agg, "nb_deces", ["age", "annee_naissance"])
     agg = windows.period_change(agg, "nb_deces", ["annee_naissance", "id_commune"], ["age", "id_date"], None, "tendance_mortalite")
-    agg = windows.zscore_flag(agg, "nb_deces", ["annee_naissance"], limits.z, flag_col="anomalie_generation")
+    z = windows.zscore("nb_deces", "__m_annee_naissance", "__s_annee_naissance")
+    agg = agg.withColumns(
+        {
+            "pct_total": numbers.ratio("nb_deces", "__total", 100, 5),
+            "surmortalite": F.coalesce(windows.zscore("nb_deces", "__m_age", "__s_age"), F.lit(0.0)),
+            "anomalie_generation": F.coalesce(F.abs(z) > limits.z, F.lit(False)),
+        }
+    )
     return agg.select(
         "id_date", "key_generation", "annee_naissance", "age", "id_commune", "nb_deces", "pct_total", "age_moyen_deces", "age_median_deces", "age_min", "age_max", "nb_hommes", "nb_femmes", "pct_hommes", "pct_femmes",
         "ratio_h_f", "nb_centenaires", "nb_mineurs", "annee_deces_min", "annee_deces_max", "surmortalite", "tendance_mortalite", "indice_vieillissement", "anomalie_generation",

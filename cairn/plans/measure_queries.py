@@ -164,6 +164,34 @@ def measure_period_of_calendar(spark: SparkSession, sf: str) -> DataFrame:
     return measures.measure("deces_periode")({"by_month": joins.link(_monthly(spark, sf)["by_month"], months, "AnMois", "AnMois")}, ["trimestre"])
 
 
+@_query(
+    "measure_places_off_limits",
+    f"WITH {_O}, g AS (SELECT code, count(*) AS n FROM b GROUP BY 1), z AS (SELECT round((n - avg(n) OVER ()) / stddev_pop(n) OVER (), 3) AS z FROM g) SELECT count(*) FILTER (abs(z) > 2.5) AS communes_z FROM z",
+)
+def measure_places_off_limits(spark: SparkSession, sf: str) -> DataFrame:
+    return measures.measure("communes_z")(_fact(spark, sf))
+
+
+@_query("measure_cohort_gap", _COHORTS + " SELECT annee_naissance, round(avg(age_moyen_deces) FILTER (nb_femmes > nb_hommes) - avg(age_moyen_deces) FILTER (nb_hommes > nb_femmes), 2) AS ecart_longevite_agg FROM co GROUP BY 1")
+def measure_cohort_gap(spark: SparkSession, sf: str) -> DataFrame:
+    return measures.together({"by_cohort": core.cohort_metrics(spark, sf)}, ["ecart_longevite_agg"], ["annee_naissance"])
+
+
+@_query(
+    "measures_one_scan",
+    f"""WITH {_O}, a AS (SELECT avg(age) AS m, {_n('age >= 85')} / count(*) AS p FROM b)
+    SELECT 'generation' AS contexte, gen AS groupe, round(any_value(m) - avg(age), 2) AS esperance_residuelle, round({_n('age >= 85')} / count(*) - any_value(p), 4) AS ecart_85_national, round({_n('age >= 85')} / count(*), 4) AS part_85, count(*) AS total_deces FROM b, a GROUP BY gen
+    UNION ALL SELECT 'lieu', code, round(any_value(m) - avg(age), 2), round({_n('age >= 85')} / count(*) - any_value(p), 4), round({_n('age >= 85')} / count(*), 4), count(*) FROM b, a GROUP BY code
+    UNION ALL SELECT 'tout', NULL, 0.0, 0.0, round({_n('age >= 85')} / count(*), 4), count(*) FROM b, a""",
+)
+def measures_one_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Measures by generation, by place and of all, two of them against all, from one pass over the records."""
+    names = ["esperance_residuelle", "ecart_85_national", "part_85", "total_deces"]
+    found = measures.evaluate(_fact(spark, sf), {"generation": (names, ["generation"]), "lieu": (names, ["code_lieu_deces"]), "tout": (names, [])})
+    key = {"generation": F.col("generation"), "lieu": F.col("code_lieu_deces"), "tout": F.lit(None).cast("string")}
+    return rows.union_all([df.select(F.lit(c).alias("contexte"), key[c].alias("groupe"), *names) for c, df in found.items()])
+
+
 # reports
 @_query(
     "report_decades",

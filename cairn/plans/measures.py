@@ -11,12 +11,14 @@ the measure is a table). ``model`` maps table names to frames: "fact" (see
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.functions import dates, numbers, rules
 from cairn.operators import aggregates, windows
+from cairn.sources.scratch import written
 
 Model = Mapping[str, DataFrame]
 Measure = Callable[..., DataFrame]
@@ -56,15 +58,47 @@ def _against_all(name: str, expr: Callable[[], Column], combine: Callable[[Colum
     _register(name, lambda model, by=(), where=None: together(model, [name], by, where))
 
 
-def together(model: Model, names: Sequence[str], by: Sequence[str] = (), where: Column | str | None = None) -> DataFrame:
-    """Several measures of one table side by side, in one aggregation by group and, if one needs it, one over all rows."""
+def evaluate(model: Model, contexts: Mapping[str, tuple[Sequence[str], Sequence[str]]], where: Column | str | None = None) -> dict[str, DataFrame]:
+    """Measures of one table in several groupings, from one scan of its rows.
+
+    ``contexts`` maps a name to measures and the columns that they are grouped by. All
+    groupings, and the one of all rows if a measure is compared with it, are grouping sets
+    of a single aggregation, whose small result is written; each context's frame is read from it.
+    """
+    names = list(dict.fromkeys(n for own, _ in contexts.values() for n in own))
     (table,) = {(VALUES.get(n) or AGAINST[n])[0] for n in names}
-    rows, against = _rows(model, table, where), [n for n in names if n in AGAINST]
-    own = rows.groupBy(*by).agg(*((VALUES.get(n) or AGAINST[n])[1]().alias(n) for n in names))
-    if not against:
-        return own
-    total = rows.agg(*(AGAINST[n][1]().alias(f"__{n}") for n in against))
-    return own.crossJoin(F.broadcast(total)).select(*by, *(AGAINST[n][2](F.col(n), F.col(f"__{n}")).alias(n) if n in AGAINST else F.col(n) for n in names))
+    sets = dict.fromkeys(tuple(by) for _, by in contexts.values())
+    if any(n in AGAINST for n in names):
+        sets[()] = None
+    keys = list(dict.fromkeys(k for by in sets for k in by))
+    value = {n: (VALUES.get(n) or AGAINST[n])[1] for n in names}
+    rows = _rows(model, table, where)
+    if not keys:
+        pass_ = rows.agg(*(e().alias(n) for n, e in value.items()))
+    else:
+        flags = (F.grouping(k).alias(f"__all_{k}") for k in keys)
+        pass_ = rows.groupingSets([list(by) for by in sets], *keys).agg(*(e().alias(n) for n, e in value.items()), *flags)
+    found = written(pass_, "measures")
+
+    def of(by: Sequence[str]) -> DataFrame:
+        return found.where(F.lit(True) if not keys else reduce(lambda a, b: a & b, (F.col(f"__all_{k}") == int(k not in by) for k in keys)))
+
+    out = {}
+    for context, (own, by) in contexts.items():
+        against = [n for n in own if n in AGAINST]
+        held = of(by)
+        if against:
+            held = held.crossJoin(F.broadcast(of(()).select(*(F.col(n).alias(f"__{n}") for n in against))))
+        out[context] = held.select(*by, *(AGAINST[n][2](F.col(n), F.col(f"__{n}")).alias(n) if n in AGAINST else F.col(n) for n in own))
+    return out
+
+
+def together(model: Model, names: Sequence[str], by: Sequence[str] = (), where: Column | str | None = None) -> DataFrame:
+    """Several measures of one table side by side, in one aggregation; if one is compared with all rows, by ``evaluate``."""
+    if any(n in AGAINST for n in names):
+        return evaluate(model, {"": (names, by)}, where)[""]
+    (table,) = {VALUES[n][0] for n in names}
+    return _rows(model, table, where).groupBy(*by).agg(*(VALUES[n][1]().alias(n) for n in names))
 
 
 AGE, SEX, N = "age_au_deces", "sexe", lambda: F.count(F.lit(1))
@@ -118,6 +152,7 @@ _value("age_moyen_generation_litteral", lambda: F.round(F.avg("annee_deces"), 2)
 _value("ecart_longevite", lambda: F.round(_mean(lambda: F.col(SEX) == "F")() - _mean(lambda: F.col(SEX) == "M")(), 2))
 _value("age_moyen_femmes_agg", lambda: F.round(F.avg(F.when(F.col("nb_femmes") > F.col("nb_hommes"), F.col("age_moyen_deces"))), 2), "by_cohort")
 _value("age_moyen_hommes_agg", lambda: F.round(F.avg(F.when(F.col("nb_hommes") > F.col("nb_femmes"), F.col("age_moyen_deces"))), 2), "by_cohort")
+_value("ecart_longevite_agg", lambda: F.round(F.avg(F.when(F.col("nb_femmes") > F.col("nb_hommes"), F.col("age_moyen_deces"))) - F.avg(F.when(F.col("nb_hommes") > F.col("nb_femmes"), F.col("age_moyen_deces"))), 2), "by_cohort")
 _against_all("esperance_residuelle", _mean(), lambda own, all_: F.round(all_ - own, 2))
 _against_all("ecart_age_national", _mean(), lambda own, all_: F.round(own - all_, 2))
 _value("part_85", _part(_aged(85)))
@@ -139,7 +174,7 @@ _register("age_moyen_par_generation", lambda model, by=(), where=None: aggregate
 def _age_attendu(model: Model, by: Sequence[str] = (), where: Column | str | None = None) -> DataFrame:
     """Per birth year, the mean of the mean ages of the three years on each side."""
     means = _rows(model, "fact", where).groupBy("annee_naissance").agg(F.avg(AGE).alias("m")).where("annee_naissance IS NOT NULL")
-    return windows.neighbour_mean(means, "annee_naissance", "m", 3, name="age_attendu").select("annee_naissance", "age_attendu")
+    return windows.neighbour_mean(means, "annee_naissance", "m", 3, name="age_attendu", few=True).select("annee_naissance", "age_attendu")
 
 
 _register("age_attendu", _age_attendu)
@@ -148,7 +183,7 @@ _register("age_attendu", _age_attendu)
 def _ecart_generation(model: Model, by: Sequence[str] = (), where: Column | str | None = None) -> DataFrame:
     """Per generation, its mean age less that of the generation before."""
     means = _rows(model, "fact", where).groupBy("generation").agg(F.avg(AGE).alias("m"), F.min("annee_naissance").alias("first"))
-    return windows.previous_group_gap(means.where("first IS NOT NULL"), "first", "m", name="ecart_generation").select("generation", "ecart_generation")
+    return windows.previous_group_gap(means.where("first IS NOT NULL"), "first", "m", name="ecart_generation", few=True).select("generation", "ecart_generation")
 
 
 _register("ecart_generation", _ecart_generation)
@@ -204,7 +239,7 @@ _value("variation_moyenne_pct", lambda: F.round(F.avg("variation_pct"), 2), "by_
 def _moyenne_mobile(model: Model, by: Sequence[str] = (), where: Column | str | None = None) -> DataFrame:
     """Per month, the mean of the last 12 calendar months."""
     months = _rows(model, "by_month", where).withColumn("__i", F.col("annee") * 12 + F.col("mois"))
-    return windows.calendar_moving_average(months, "nb_deces", "__i", name="moyenne_mobile_12m_cal").select("AnMois", "moyenne_mobile_12m_cal")
+    return windows.calendar_moving_average(months, "nb_deces", "__i", name="moyenne_mobile_12m_cal", few=True).select("AnMois", "moyenne_mobile_12m_cal")
 
 
 _register("moyenne_mobile_12m_cal", _moyenne_mobile)
@@ -254,6 +289,7 @@ def _group_z(name: str, column: str) -> None:
 
 _group_z("z_commune", "code_lieu_deces")
 _group_z("z_cohorte", "annee_naissance")
+_register("communes_z", lambda model, by=(), where=None: measure("z_commune")(model, (), where).agg(F.count_if(F.abs("z_score") > 2.5).alias("communes_z")))
 _value("communes_anomalie", lambda: F.count_distinct(F.when(F.col("anomalie_mortalite"), F.col("id_commune"))), "by_place")
 _value("pct_communes_anomalie", _part(lambda: F.count_if("anomalie_mortalite")), "by_place")
 _value("anomalies_distribution", lambda: F.count_if("anomalie_distribution"), "by_age")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import dates, numbers, rules, text
-from cairn.operators import aggregates, joins, quality, rows, windows
+from cairn.operators import aggregates, joins, quality, ranges, rows, windows
 from cairn.plans import gold, layers, measures, monitoring
 from cairn.sources import readers
 
@@ -398,13 +398,14 @@ def run_history(spark: SparkSession, sf: str) -> DataFrame:
 )
 def moving_averages(spark: SparkSession, sf: str) -> DataFrame:
     g = records(spark, sf).groupBy((F.col("annee_deces") * 12 + F.col("mois_deces")).alias("i")).agg(F.count(F.lit(1)).alias("n"))
-    return windows.moving_average(windows.calendar_moving_average(joins.prior_period(g, [], "i", 12, "n"), "n", "i"), "n", ["i"], 3)
+    return windows.moving_average(windows.calendar_moving_average(joins.prior_period(g, [], "i", 12, "n"), "n", "i", few=True), "n", "i", 3, few=True)
 
 
 @_query("rank_places", f"WITH {_PLACE} SELECT region, code AS code_lieu_deces, count(*) AS n, dense_rank() OVER (PARTITION BY region ORDER BY count(*) DESC) AS rang_region, dense_rank() OVER (ORDER BY count(*) DESC) AS rang FROM r LEFT JOIN pl ON id = code GROUP BY 1, 2")
 def rank_places(spark: SparkSession, sf: str) -> DataFrame:
     each = joins.enrich(records(spark, sf), places(spark, sf), "code_lieu_deces", "id_commune", ["region"], pad=5).groupBy("region", "code_lieu_deces").agg(F.count(F.lit(1)).alias("n"))
-    return windows.rank_by(windows.rank_by(each, "n", ["region"], name="rang_region"), "n")
+    few = ranges.holds_at_most(each, ranges.RANGE_ROWS)
+    return windows.rank_by(windows.rank_by(each, "n", ["region"], name="rang_region", few=few), "n", few=few)
 
 
 @_query("control_limits", f"WITH {_R}, g AS (SELECT annee * 100 + mois AS k, count(*) AS n FROM r GROUP BY 1) SELECT CAST(k AS INTEGER) AS k, n, round(avg(n) OVER () - 2 * stddev_pop(n) OVER (), 2) AS limite_basse, round(avg(n) OVER () + 2 * stddev_pop(n) OVER (), 2) AS limite_haute FROM g")
@@ -578,4 +579,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
 
 
-from cairn.plans import layer_queries, measure_queries  # noqa: E402, F401  they add their queries
+from cairn.plans import layer_queries, measure_queries, scale_queries, state_queries  # noqa: E402, F401  they add their queries

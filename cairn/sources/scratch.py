@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
@@ -17,3 +17,11 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints")
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """The rows as a table in that folder: what reads them several times does the work before them once."""
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
