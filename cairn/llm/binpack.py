@@ -64,12 +64,11 @@ def pieces(df: DataFrame, id_col: str, path: str, text_col: str | None = None, p
     ids bear loss if the flag is true. A null text is empty; a null or empty array gives
     one end id without loss. Repeated rows give their pieces again.
     """
-    encode, end = bpe.encoding(path, lexicon), np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], "<u4").tobytes()
 
     def encoded(texts: pa.Array) -> Iterator[bytes]:
-        rows = pa.RecordBatch.from_arrays([pa.nulls(len(texts), pa.int64()), texts], ["id", "text"])
-        for b in encode(iter([rows])):
-            yield from b.column("ids").to_pylist()
+        """Ids of a whole batch at once, so that each of its words is merged once."""
+        return iter(bpe._encoder(path, lexicon).encode([t or "" for t in texts.to_pylist()]))
 
     def tokens(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
         """Ids and loss flags of each row; no flags where all bear loss."""
