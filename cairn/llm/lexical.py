@@ -36,8 +36,8 @@ from .common import broadcast_if_small, discard, staged
 _BREAKS = bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 _LOWER = bytes.maketrans(_BREAKS + b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b" " * len(_BREAKS) + b"abcdefghijklmnopqrstuvwxyz")
 _FORWARD = "id long, n long, terms array<string>, tfs array<int>"
-_PART = "m long, s int, docs array<long>, terms array<string>, most array<int>, dfs array<int>, n_runs array<int>, run_tf array<int>, run_len array<int>, members array<int>"
-_ARROW = pa.schema([("m", pa.int64()), ("s", pa.int32()), ("docs", pa.list_(pa.int64())), ("terms", pa.list_(pa.string()))] + [(c, pa.list_(pa.int32())) for c in ("most", "dfs", "n_runs", "run_tf", "run_len", "members")])
+_PART = "m long, s int, docs array<long>, terms array<string>, most array<int>, dfs array<int>, run_tf array<int>, run_len array<int>, members array<int>"
+_ARROW = pa.schema([("m", pa.int64()), ("s", pa.int32()), ("docs", pa.list_(pa.int64())), ("terms", pa.list_(pa.string()))] + [(c, pa.list_(pa.int32())) for c in ("most", "dfs", "run_tf", "run_len", "members")])
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,7 @@ def _build(group: pa.Table) -> pa.Table:
     run = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (tf[1:] != tf[:-1])]))
     first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
     n = len(words.dictionary)
-    row = {"m": group.column("m")[0].as_py(), "s": group.column("s")[0].as_py(), "docs": group.column("id").combine_chunks(), "terms": words.dictionary, "most": tf[first], "dfs": np.bincount(code, minlength=n), "n_runs": np.bincount(code[run], minlength=n), "run_tf": tf[run], "run_len": np.diff(np.append(run, len(code))), "members": doc}
+    row = {"m": group.column("m")[0].as_py(), "s": group.column("s")[0].as_py(), "docs": group.column("id").combine_chunks(), "terms": words.dictionary, "most": tf[first], "dfs": np.bincount(code, minlength=n), "run_tf": tf[run], "run_len": np.diff(np.append(run, len(code))), "members": doc}
     columns = [pa.array([row[f.name]], f.type) if f.name in ("m", "s") else pa.ListArray.from_arrays([0, len(row[f.name])], pa.array(row[f.name], f.type.value_type)) for f in _ARROW]
     return pa.Table.from_arrays(columns, schema=_ARROW)
 
