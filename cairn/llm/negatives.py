@@ -136,8 +136,8 @@ def _packed(size: int):
 
 
 def blocks(vectors: DataFrame, size: int = 256, dims: int = 8, bits: int = 6, sample: int = 1024) -> DataFrame:
-    """All vectors in blocks along the curve, written; the curve's directions are fitted on ``sample`` rows."""
-    keyed = vectors.mapInArrow(_keyed(_axes(vectors, dims, sample), bits), "rid long, vec_id long, label long, v array<long>, dim int, key long")
+    """All vectors (rid, vec_id, label, v) in blocks along the curve, written; the curve's directions are fitted on ``sample`` rows."""
+    keyed = vectors.select("rid", "vec_id", "label", "v").mapInArrow(_keyed(_axes(vectors, dims, sample), bits), "rid long, vec_id long, label long, v array<long>, dim int, key long")
     order = ["dim", "key", "vec_id", "rid"]
     return staged(keyed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_packed(size), _BLOCK), "blocks")
 

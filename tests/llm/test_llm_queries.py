@@ -26,7 +26,7 @@ def docs(spark):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("embeddings", "pages"):
+    for t in ("embeddings", "pages", "documents", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     cur = con.execute(queries.oracle_sql()[name])
     cols = [d[0] for d in cur.description]
