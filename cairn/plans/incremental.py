@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import dates, text
@@ -22,16 +22,16 @@ from cairn.plans import gold
 
 @dataclass(frozen=True)
 class States:
-    """Groups (names and expressions), and the columns whose least or greatest value is kept beside the count ``n``."""
+    """Groups (names and SQL expressions), and the columns whose least or greatest value is kept beside the count ``n``."""
 
-    keys: Mapping[str, Column]
+    keys: Mapping[str, str]
     least: Mapping[str, str] = field(default_factory=dict)
     most: Mapping[str, str] = field(default_factory=dict)
 
     def of(self, records: DataFrame) -> DataFrame:
         """The states of records."""
         kept = {**{n: F.min(c) for n, c in self.least.items()}, **{n: F.max(c) for n, c in self.most.items()}}
-        return records.groupBy(*(c.alias(n) for n, c in self.keys.items())).agg(F.count(F.lit(1)).alias("n"), *(c.alias(n) for n, c in kept.items()))
+        return records.groupBy(*(F.expr(c).alias(n) for n, c in self.keys.items())).agg(F.count(F.lit(1)).alias("n"), *(c.alias(n) for n, c in kept.items()))
 
     def merged(self, states: DataFrame) -> DataFrame:
         """One row a group from the states of several deliveries."""
@@ -39,17 +39,12 @@ class States:
         return states.groupBy(*self.keys).agg(F.sum("n").alias("n"), *(c.alias(n) for n, c in kept.items()))
 
 
-def _c(*names: str) -> dict[str, Column]:
-    return {n: F.col(n) for n in names}
-
-
-_BORN = F.col("date_naissance")
 #: Ages by month: for the aggregates by age and by month.
-AGES = States(_c("annee_deces", "mois_deces", "age_au_deces", "sexe"))
+AGES = States({c: c for c in ("annee_deces", "mois_deces", "age_au_deces", "sexe")})
 #: Ages by place.
-PLACES = States(_c("code_lieu_deces", "age_au_deces", "sexe"))
+PLACES = States({c: c for c in ("code_lieu_deces", "age_au_deces", "sexe")})
 #: Ages by month of birth and place, with the first and last year of death.
-COHORTS = States({**_c("age_au_deces", "code_lieu_deces", "sexe"), "annee_naissance": F.year(_BORN), "mois_naissance": F.month(_BORN)}, least={"annee_min": "annee_deces"}, most={"annee_max": "annee_deces"})
+COHORTS = States({"annee_naissance": "year(date_naissance)", "mois_naissance": "month(date_naissance)", "age_au_deces": "age_au_deces", "code_lieu_deces": "code_lieu_deces", "sexe": "sexe"}, least={"annee_min": "annee_deces"}, most={"annee_max": "annee_deces"})
 
 
 def deliver(spark: SparkSession, path: str, delivery: str, records: DataFrame, states: States) -> None:
