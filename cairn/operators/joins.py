@@ -87,8 +87,7 @@ def bracket_join(df: DataFrame, col: str, rules: DataFrame, lo: str, hi: str, ho
     each level that occurs, by an equal join, and rows find their value's rules. Values
     are numbers, dates or timestamps. Brackets that are empty or have a null end hold nothing.
     """
-    held = rules.limit(few + 1).count()
-    if held <= few:
+    if rules.limit(few + 1).count() <= few:
         return df.join(F.broadcast(rules), F.col(col).between(F.col(lo), F.col(hi)), how)
     at = lambda v: F.floor(v / F.pow(F.lit(2.0), F.col("__level"))).cast("double")
     first, last = _as_number(rules, lo), _as_number(rules, hi)

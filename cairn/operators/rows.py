@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cairn.sources.scratch import written
+
 
 def project(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
     return df.select(*cols)
@@ -69,6 +71,20 @@ def ordered(df: DataFrame, cols: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*cols)
 
 
+def with_position(df: DataFrame, cols: Sequence[str | Column], name: str = "position") -> DataFrame:
+    """Every row's place in the total order by ``cols``, from 1.
+
+    Rows are sorted in ranges and written with their number in the range; each range
+    starts after the rows of those before it. No task holds more than a range.
+    """
+    held = written(df.orderBy(*cols).withColumn("__id", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("__id", 33).alias("__part")
+    sizes = held.groupBy(part).agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
+    starts = sizes.select("__part", "__first", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    out = held.withColumn("__part", part).join(starts, "__part")
+    return out.withColumn(name, F.col("__id") - F.col("__first") + F.col("__before") + 1).select(*df.columns, name)
+
+
 def top_k(df: DataFrame, by: Sequence[str | Column], k: int, ties: Sequence[str] = ()) -> DataFrame:
     """The first k rows by descending ``by``, ties by ``ties`` ascending."""
     return df.orderBy(*(F.desc(c) if isinstance(c, str) else c for c in by), *ties).limit(k)

@@ -142,10 +142,12 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return held.where("_source_fichier IS NOT NULL").groupBy("sexe").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _array_files(spark: SparkSession, df: DataFrame, by: str, value: Column) -> str:
-    """One JSON document per ``by``, each in a file of its own."""
+def _array_files(spark: SparkSession, df: DataFrame, by: str, value: Column, rows_: int = 500) -> str:
+    """JSON documents of about ``rows_`` values of one ``by`` each, every one in a file of its own."""
     path = scratch_path(spark, "json")
-    df.groupBy(by).agg(F.to_json(value).alias("value")).select("value", by).repartition(by).write.partitionBy(by).text(path)
+    parts = -(-df.count() // rows_)
+    part = F.pmod(F.xxhash64("x"), F.lit(parts)).cast("int").alias("part")
+    df.groupBy(by, part).agg(F.to_json(value).alias("value")).select("value", by, "part").repartition(by, "part").write.partitionBy(by, "part").text(path)
     return path
 
 
@@ -158,7 +160,7 @@ def _array_files(spark: SparkSession, df: DataFrame, by: str, value: Column) ->
 def place_dimension(spark: SparkSession, sf: str) -> DataFrame:
     """Nested JSON written from suppliers and scanned, joined to code lists and observations, merged into an earlier version, written clustered."""
     nation = _t(spark, sf, "nation")
-    s = _t(spark, sf, "supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+    s = _t(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     k, code = F.col("s_suppkey"), F.col("s_suppkey").cast("string")
     place = F.struct(
         code.alias("code"), F.col("s_name").alias("nom"), F.col("n_nationkey").cast("string").alias("codeDepartement"), F.col("n_regionkey").cast("string").alias("codeRegion"),
@@ -223,14 +225,14 @@ def _months(spark: SparkSession, sf: str) -> DataFrame:
     return core.records(spark, sf).groupBy("annee_deces", "mois_deces").agg(F.count(F.lit(1)).alias("n"))
 
 
-@_query("ordered_by_keys", f"WITH {core._R} SELECT annee AS annee_deces, mois AS mois_deces, count(*) AS n FROM r GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 20")
+@_query("ordered_by_keys", f"WITH {core._R} SELECT annee AS annee_deces, mois AS mois_deces, count(*) AS n, row_number() OVER (ORDER BY annee, mois) AS position FROM r GROUP BY 1, 2")
 def ordered_by_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return rows.ordered(_months(spark, sf), ["annee_deces", "mois_deces"]).limit(20)
+    return rows.with_position(_months(spark, sf), ["annee_deces", "mois_deces"])
 
 
-@_query("ordered_by_metric", f"WITH {core._R} SELECT annee AS annee_deces, mois AS mois_deces, count(*) AS n FROM r GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 20")
+@_query("ordered_by_metric", f"WITH {core._R} SELECT annee AS annee_deces, mois AS mois_deces, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, annee, mois) AS position FROM r GROUP BY 1, 2")
 def ordered_by_metric(spark: SparkSession, sf: str) -> DataFrame:
-    return rows.ordered(_months(spark, sf), [F.desc("n"), "annee_deces", "mois_deces"]).limit(20)
+    return rows.with_position(_months(spark, sf), [F.desc("n"), "annee_deces", "mois_deces"])
 
 
 @_query("first_after_sort", f"WITH {core._R} SELECT annee AS annee_deces, mois AS mois_deces, count(*) AS n FROM r GROUP BY 1, 2 ORDER BY 3, 1, 2 LIMIT 1")
@@ -238,11 +240,11 @@ def first_after_sort(spark: SparkSession, sf: str) -> DataFrame:
     return rows.first_by(_months(spark, sf), ["n", "annee_deces", "mois_deces"])
 
 
-@_query("ordered_by_label_key", f"WITH {core._R}, x AS (SELECT CASE WHEN age <= 17 THEN '0-17 ans' WHEN age <= 29 THEN '18-29 ans' WHEN age <= 44 THEN '30-44 ans' ELSE '45-59 ans' END AS tranche_age, CASE WHEN age <= 17 THEN 1 WHEN age <= 29 THEN 2 WHEN age <= 44 THEN 3 ELSE 4 END AS ordre_tranche FROM r) SELECT tranche_age, ordre_tranche, count(*) AS n FROM x GROUP BY 1, 2 ORDER BY 2 LIMIT 3")
+@_query("ordered_by_label_key", f"WITH {core._R}, x AS (SELECT CASE WHEN age <= 17 THEN '0-17 ans' WHEN age <= 29 THEN '18-29 ans' WHEN age <= 44 THEN '30-44 ans' ELSE '45-59 ans' END AS tranche_age, CASE WHEN age <= 17 THEN 1 WHEN age <= 29 THEN 2 WHEN age <= 44 THEN 3 ELSE 4 END AS ordre_tranche FROM r) SELECT tranche_age, ordre_tranche, count(*) AS n, row_number() OVER (ORDER BY ordre_tranche) AS position FROM x GROUP BY 1, 2")
 def ordered_by_label_key(spark: SparkSession, sf: str) -> DataFrame:
     """Age bands in the order of their own column, as labels sort otherwise."""
     joined = joins.enrich(core.records(spark, sf), layers.dim_age(spark), "age_au_deces", "age", ["tranche_age", "ordre_tranche"])
-    return rows.ordered(joined.groupBy("tranche_age", "ordre_tranche").agg(F.count(F.lit(1)).alias("n")), ["ordre_tranche"]).limit(3)
+    return rows.with_position(joined.groupBy("tranche_age", "ordre_tranche").agg(F.count(F.lit(1)).alias("n")), ["ordre_tranche"])
 
 
 @_query("latest_rows_per_key", "SELECT o_custkey, o_orderkey, rn FROM (SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS INTEGER) AS rn FROM orders) WHERE rn <= 2")

@@ -218,3 +218,26 @@ def report_place_profile(spark: SparkSession, sf: str) -> DataFrame:
     band = rules.rules_case("age_au_deces", rules.AGE_BANDS["tranche_age_5_ans"]).alias("tranche")
     each = old_records(spark, sf).groupBy("code_lieu_deces", band).agg(F.count(F.lit(1)).alias("nb_deces"))
     return aggregates.share(each, ["code_lieu_deces"], "nb_deces", 2)
+
+
+@_query(
+    "report_regions",
+    f"WITH {core._PLACE} SELECT region, CAST(sum(nb_deces) AS BIGINT) AS nb_deces, round(sum(nb_deces) * 1000.0::DOUBLE / sum(population_commune), 4) AS taux_pour_mille, median(indice_vieillissement) AS vieillissement_median FROM place JOIN pl ON id = id_commune WHERE population_commune > 0 GROUP BY region",
+)
+def report_regions(spark: SparkSession, sf: str) -> DataFrame:
+    """Volume, mortality and median ageing index of each region's places with a known population."""
+    places = core.places(spark, sf)
+    marts = gold.mart_place(gold.by_place(core.records(spark, sf), places, core.LIMITS), places).where("population_commune > 0")
+    rates = measures.together({"by_place": marts}, ["taux_pour_mille"], ["region"])
+    volume = aggregates.grouped(marts, ["region"], {"nb_deces": F.sum("nb_deces"), "vieillissement_median": F.median("indice_vieillissement")})
+    return volume.join(rates, "region").select("region", "nb_deces", "taux_pour_mille", "vieillissement_median")
+
+
+@_query(
+    "report_excess_by_generation",
+    f"""WITH {_O}, g AS (SELECT gen AS generation, count(*) AS nb_deces FROM b GROUP BY 1), z AS (SELECT *, round((nb_deces - avg(nb_deces) OVER ()) / stddev_pop(nb_deces) OVER (), 3) AS z_score FROM g)
+    SELECT *, CASE WHEN abs(z_score) > 3 THEN 'CRITIQUE' WHEN abs(z_score) > 2.5 THEN 'ÉLEVÉ' WHEN abs(z_score) > 2 THEN 'MODÉRÉ' WHEN abs(z_score) > 1.5 THEN 'LÉGER' ELSE 'NORMAL' END AS niveau, CASE WHEN z_score > 0 THEN 'Surmortalité' ELSE 'Sous-mortalité' END AS sens FROM z""",
+)
+def report_excess_by_generation(spark: SparkSession, sf: str) -> DataFrame:
+    """Each generation's volume against the others, with its class."""
+    return measures.measure("z_generation")(_fact(spark, sf))

@@ -289,6 +289,7 @@ def _group_z(name: str, column: str) -> None:
 
 _group_z("z_commune", "code_lieu_deces")
 _group_z("z_cohorte", "annee_naissance")
+_group_z("z_generation", "generation")
 _register("communes_z", lambda model, by=(), where=None: measure("z_commune")(model, (), where).agg(F.count_if(F.abs("z_score") > 2.5).alias("communes_z")))
 _value("communes_anomalie", lambda: F.count_distinct(F.when(F.col("anomalie_mortalite"), F.col("id_commune"))), "by_place")
 _value("pct_communes_anomalie", _part(lambda: F.count_if("anomalie_mortalite")), "by_place")

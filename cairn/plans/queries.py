@@ -64,7 +64,7 @@ def born_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def places(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers as places within nations and regions."""
-    nation = _t(spark, sf, "nation").join(F.broadcast(_t(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    nation = _t(spark, sf, "nation").join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     joined = joins.enrich(_t(spark, sf, "supplier"), nation, "s_nationkey", "n_nationkey", ["n_name", "r_name"])
     return joined.select(F.col("s_suppkey").cast("string").alias("id_commune"), F.col("s_name").alias("commune"), F.col("n_name").alias("departement"), F.col("r_name").alias("region"), F.col("s_acctbal").alias("population_commune"), (F.col("s_acctbal") / 100).alias("superficie_commune"))
 
