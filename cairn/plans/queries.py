@@ -403,7 +403,8 @@ def moving_averages(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query("rank_places", f"WITH {_PLACE} SELECT region, code AS code_lieu_deces, count(*) AS n, dense_rank() OVER (PARTITION BY region ORDER BY count(*) DESC) AS rang_region, dense_rank() OVER (ORDER BY count(*) DESC) AS rang FROM r LEFT JOIN pl ON id = code GROUP BY 1, 2")
 def rank_places(spark: SparkSession, sf: str) -> DataFrame:
-    each = joins.enrich(records(spark, sf), places(spark, sf), "code_lieu_deces", "id_commune", ["region"], pad=5).groupBy("region", "code_lieu_deces").agg(F.count(F.lit(1)).alias("n"))
+    counts = records(spark, sf).groupBy("code_lieu_deces").agg(F.count(F.lit(1)).alias("n"))
+    each = joins.enrich(counts, places(spark, sf), "code_lieu_deces", "id_commune", ["region"], pad=5).select("region", "code_lieu_deces", "n")
     few = ranges.holds_at_most(each, ranges.RANGE_ROWS)
     return windows.rank_by(windows.rank_by(each, "n", ["region"], name="rang_region", few=few), "n", few=few)
 
