@@ -21,7 +21,7 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, staged
+from .common import broadcast_if_small, new_path, staged
 
 # Fixed values of the WARC 1.1 format.
 VERSION = b"WARC/1.1"
@@ -29,8 +29,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 HTTP_TYPE = "application/http; msgtype=response"
 
 _CHUNKS = "record_id string, record_type string, refers_to string, uri string, chunk int, data binary, bytes_so_far long, sha1_so_far string, is_last boolean, declared_bytes long, declared_digest string"
-#: A list of repeated payloads up to this many rows is broadcast.
-BROADCAST_ROWS = 200_000
+#: A line of a head may have so many bytes; what is longer is no head.
+HEAD_BYTES = 1 << 16
 
 
 def with_record_types(pages: DataFrame, id_col: str, payload_col: str, uri_col: str | None = None, min_bytes: int = 0) -> DataFrame:
@@ -46,10 +46,7 @@ def with_record_types(pages: DataFrame, id_col: str, payload_col: str, uri_col:
     rows = pages.select(F.col(id_col).alias("id"), (F.col(uri_col) if uri_col else F.lit(None).cast("string")).alias("uri"), payload.alias("payload"))
     rows = rows.withColumn("sha1", F.sha1("payload"))
     again = rows.where(F.octet_length("payload") >= min_bytes).groupBy("sha1").agg(F.max("id").alias("keeper"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    again = staged(again, "repeated-payloads")
-    if again.count() <= BROADCAST_ROWS:
-        again = F.broadcast(again)
-    joined = rows.join(again, "sha1", "left")
+    joined = rows.join(broadcast_if_small(staged(again, "repeated-payloads")), "sha1", "left")
     revisit = F.col("keeper").isNotNull() & ~F.col("id").eqNullSafe(F.col("keeper"))
     return joined.select(
         F.col("id").cast("string").alias("record_id"),
@@ -119,7 +116,9 @@ def write_archives(records: DataFrame, folder: str | None = None, max_bytes: int
 
 def _header(stream: gzip.GzipFile) -> dict[str, str]:
     out = {}
-    while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
+    while (line := stream.readline(HEAD_BYTES)) not in (b"\r\n", b"\n", b""):
+        if len(line) == HEAD_BYTES:
+            raise ValueError("a line of a record's head is too long")
         name, _, value = line.decode("utf-8", "replace").partition(":")
         out[name.strip().lower()] = value.strip()
     return out
@@ -134,7 +133,9 @@ def read_chunks(archives: DataFrame, chunk_bytes: int = 1 << 20, path_col: str =
     """The chunked record table of gzipped archives.
 
     One row per chunk of at most ``chunk_bytes`` payload bytes; a record without
-    payload has one empty chunk. ``declared_*`` are the header's size and digest of
+    payload has one empty chunk. The payload of an HTTP response is what follows its
+    head; other records, and blocks that do not begin like a head, are payload from their
+    first byte on. No line is read beyond HEAD_BYTES. ``declared_*`` are the header's size and digest of
     the payload; a response whose digest differs raises. A task reads one archive.
     """
 
@@ -159,33 +160,50 @@ def read_chunks(archives: DataFrame, chunk_bytes: int = 1 << 20, path_col: str =
     return archives.select(path_col).repartition(max(1, n)).mapInArrow(run, _CHUNKS)
 
 
+def _without_http_head(stream: gzip.GzipFile, length: int) -> tuple[bytes, int]:
+    """Skip the HTTP head of a block of so many bytes: bytes already read that belong to the payload, and how many are left behind them."""
+    first = stream.readline(min(HEAD_BYTES, length))
+    if not first.startswith(b"HTTP/") or not first.endswith(b"\n"):
+        return first, length - len(first)
+    left = length - len(first)
+    while left:
+        line = stream.readline(min(HEAD_BYTES, left))
+        left -= len(line)
+        if line in (b"\r\n", b"\n"):
+            break
+        if not line.endswith(b"\n"):
+            return line, left
+    return b"", left
+
+
 def _chunks_of(stream: gzip.GzipFile, chunk_bytes: int) -> Iterator[tuple]:
-    while line := stream.readline():
+    while line := stream.readline(HEAD_BYTES):
         if line.strip() != VERSION:
             if line.strip():
                 raise ValueError("not a WARC record")
             continue
         head = _header(stream)
         left = int(head["content-length"])
-        block = stream.readline()
-        left -= len(block)
-        while left and block not in (b"\r\n", b"\n"):
-            block = stream.readline()
-            left -= len(block)
+        held = b""
+        if head.get("content-type", "").startswith("application/http"):
+            held, left = _without_http_head(stream, left)
         kind, digest = head["warc-type"], head.get("warc-payload-digest", "").removeprefix("sha1:")
         own = (_urn(head.get("warc-record-id")), kind, _urn(head.get("warc-refers-to")), head.get("warc-target-uri"))
-        declared = int(head.get("x-payload-length", left))
+        declared = int(head.get("x-payload-length", left + len(held)))
         sha, so_far, k = hashlib.sha1(), 0, 0
         while True:
-            data = stream.read(min(chunk_bytes, left))
-            if left and not data:
+            data, held = held[:chunk_bytes], held[chunk_bytes:]
+            more = stream.read(min(chunk_bytes - len(data), left)) if left and len(data) < chunk_bytes else b""
+            if left and len(data) < chunk_bytes and not more:
                 raise ValueError("the archive ends within a record")
-            left -= len(data)
+            left -= len(more)
+            data += more
             so_far += len(data)
             sha.update(data)
-            yield (*own, k, data, so_far, sha.hexdigest(), not left, declared, digest)
+            last = not left and not held
+            yield (*own, k, data, so_far, sha.hexdigest(), last, declared, digest)
             k += 1
-            if not left:
+            if last:
                 break
         if kind == "response" and digest and base64.b32encode(sha.digest()).decode() != digest:
             raise ValueError(f"digest of record {own[0]} differs")

@@ -1,7 +1,9 @@
 """Exact top-k search, WARC and TIFF against plain versions."""
 
 import base64
+import gzip
 import hashlib
+import io
 import struct
 import zlib
 
@@ -67,6 +69,29 @@ def test_warc(spark, tmp_path):
     assert warc.records(warc.read_chunks(warc.write_archives(warc.with_record_types(pages.limit(0), "page_id", "html")))).count() == 0
 
 
+def test_foreign_warc_records():
+    """Heads are read within bounds; a block without an HTTP head is payload as a whole."""
+
+    def record(kind, block):
+        return b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:record:1>\r\nContent-Type: " + kind + b"\r\nContent-Length: " + str(len(block)).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    long = b"x" * (3 * warc.HEAD_BYTES + 5)
+    head = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n"
+    http = b"application/http; msgtype=response"
+    cases = [(b"text/plain", b"one\r\n\r\ntwo", b"one\r\n\r\ntwo"), (b"text/plain", long, long), (http, head + long, long), (http, head, b""), (http, b"no head\r\n\r\nbody", b"no head\r\n\r\nbody"), (http, long, long), (b"text/plain", b"", b""), (http, b"HTTP/1.1 200 OK\r\n" + long, long)]
+    data = gzip.compress(b"".join(record(kind, block) for kind, block, _ in cases))
+    for size in (7, 1000, 1 << 20):
+        found = {}
+        n = -1
+        for row in warc._chunks_of(gzip.GzipFile(fileobj=io.BytesIO(data)), size):
+            n += row[4] == 0
+            assert len(row[5]) <= size
+            found[n] = found.get(n, b"") + row[5]
+        assert [found[i] for i in range(len(cases))] == [want for _, _, want in cases]
+    with pytest.raises(ValueError):
+        list(warc._chunks_of(gzip.GzipFile(fileobj=io.BytesIO(gzip.compress(b"WARC/1.1\r\nA: " + long))), 10))
+
+
 IMAGE = np.random.default_rng(3).integers(0, 4, (70, 33), np.uint8) * 60
 
 
