@@ -1,8 +1,15 @@
 """The pipeline's stages on the smallest tables."""
 
+import hashlib
+import zlib
+
 import corpus_pipeline
+import numpy as np
+import public_tokenizers
 from cairn.llm import minhash, pii, queries
 from pyspark.sql import functions as F
+from test_dedup import Groups, shingles
+from tokenizers import Tokenizer
 
 SF = "/root/testdata/sf0.001"
 
@@ -69,3 +76,67 @@ def test_stages_with_odd_rows(spark, tmp_path):
             assert out.where("text = 'some words [EMAIL] here' AND n_chars = 23").count() == 1
         if name == "packing":
             assert out.where("piece = 0").count() == len(rows)
+
+
+def line_groups(rows):
+    """Texts without lines that are similar (ten characters, 0.8) to an earlier line, by comparing all lines."""
+    places = [(i, k, x) for i, t in sorted(rows) for k, x in enumerate((t or "").split("\n")) if x.strip(" ")]
+    norms = sorted({x.strip(" ").lower() for *_, x in places}, key=len)
+    sets = [{x[p : p + 10] for p in range(max(1, len(x) - 9))} for x in norms]
+    g = Groups()
+    for i, a in enumerate(sets):
+        for j in range(i - 1, -1, -1):
+            b = sets[j]
+            if len(norms[j]) < 0.5 * len(norms[i]) - 20:
+                break
+            if 10 * min(len(a), len(b)) >= 8 * max(len(a), len(b)) and 100 * (both := len(a & b)) >= 80 * (len(a) + len(b) - both):
+                g.join(i, j)
+    number, first, gone = {x: i for i, x in enumerate(norms)}, {}, set()
+    for i, k, x in places:
+        if first.setdefault(g.root(number[x.strip(" ").lower()]), (i, k)) != (i, k):
+            gone.add((i, k))
+    return {i: None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in rows}
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.select("doc_id", "text").collect()}
+
+
+def test_lines_of_the_query(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    want = line_groups(rows)
+    got = {r.doc_id: (r.n_lines_removed, r.n_chars, r.kept_sha256) for r in queries.op8_lines(spark, SF).collect()}
+    before = {i: len((t or "").split("\n")) for i, t in rows}
+    for i, t in want.items():
+        lost = before[i] - len((t or "").split("\n")) + (t == "" and before[i] > 0 and bool(dict(rows)[i]))
+        assert got[i] == (lost, len(t or ""), hashlib.sha256((t or "").encode()).hexdigest())
+
+
+def test_run_is_the_stages_by_hand(spark):
+    """The rows of run() against plain versions of its stages; the scores and added spans are those of the queries."""
+    kept = {r.doc_id for r in queries.op10_quality(spark, SF).where("predicted = 1").collect()}
+    now = line_groups([(i, t) for i, t in texts(spark.read.parquet(f"{SF}/documents.parquet")).items() if i in kept])
+    sets = {i: shingles(t, 5) for i, t in now.items()}
+    g = Groups()
+    for i, a in sorted(sets.items()):
+        for j, b in sorted(sets.items()):
+            if j < i and a and b and 100 * len(a & b) >= 80 * len(a | b):
+                g.join(i, j)
+    least = {}
+    for i in sorted(now):
+        least.setdefault(g.root(i), i)
+    now = {i: t for i, t in now.items() if not sets[i] or least[g.root(i)] == i}
+    docs = spark.createDataFrame([(i, t, "", "", 0) for i, t in now.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    now = texts(corpus_pipeline.redact(spark, docs, SF))
+    lib, want = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), []
+    for i, t in now.items():
+        ids = [*lib.encode(t or "", add_special_tokens=False).ids, 0]
+        want += [(i, k, at, len(part := ids[at : at + 2048]), zlib.crc32(np.array(part, "<u4").tobytes())) for k, at in enumerate(range(0, len(ids), 2048))]
+    got = corpus_pipeline.run(spark, SF).collect()
+    assert sorted(tuple(r)[:5] for r in got) == sorted(want)
+    held = {}
+    for r in got:
+        held.setdefault(r.sequence_id, []).append(r)
+    for own in held.values():
+        own.sort(key=lambda r: r.offset)
+        assert [r.offset for r in own] == np.cumsum([0, *(r.length for r in own)])[:-1].tolist() and sum(r.length for r in own) <= 2048
