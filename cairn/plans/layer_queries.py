@@ -77,6 +77,20 @@ def bronze_layer(spark: SparkSession, sf: str) -> DataFrame:
     return both.withColumn("prenoms", F.regexp_replace("prenoms", "/$", "")).groupBy("sexe").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("prenoms").alias("prenoms"))
 
 
+@_query(
+    "bronze_table",
+    f"""WITH {_D}, u AS (SELECT DISTINCT nom, prenoms, k, CASE WHEN k % 13 <> 0 THEN sd END AS sd, code FROM d)
+    SELECT CAST(1 AS INTEGER) AS livraison, count(*) AS inserted, CAST(0 AS BIGINT) AS ignored FROM u WHERE k % 3 <> 0 UNION ALL SELECT 2, count(*) FILTER (k % 3 = 0), count(*) FILTER (k % 3 <> 0) FROM u WHERE k % 2 = 0""",
+)
+def bronze_table(spark: SparkSession, sf: str) -> DataFrame:
+    """What two deliveries of files added to a table by year."""
+    table, out = scratch_path(spark, "bronze"), []
+    for n, where in ((1, "k % 3 <> 0"), (2, "k % 2 = 0")):
+        counts = layers.bronze_into(spark, _written(spark, sf, where), table, run_ts=RUN)
+        out.append(counts.agg(F.lit(n).alias("livraison"), F.sum("inserted").alias("inserted"), F.sum("ignored").alias("ignored")))
+    return rows.union_all(out)
+
+
 def clean(spark: SparkSession, sf: str) -> DataFrame:
     return layers.cleaned(layers.bronze(spark, _written(spark, sf), run_ts=RUN))
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions import dates, numbers, rules, text
-from cairn.operators import aggregates, joins, quality, rows
+from cairn.operators import aggregates, joins, partitions, quality, rows
 from cairn.sources import readers, sinks
 
 KEY = ("nom", "prenoms", "date_naissance", "date_deces")
@@ -32,6 +32,15 @@ def bronze(spark: SparkSession, path: str | list[str], target: DataFrame | None
     return staged if target is None else joins.merge_insert_only(target, staged, MERGE_KEY)[0]
 
 
+def bronze_into(spark: SparkSession, path: str | list[str], table: str, run_ts: str | None = None, encoding: str = "UTF-8") -> DataFrame:
+    """Merge the parsed records of files by key into a table partitioned by the year of death as written; returns the merge's counts by year.
+
+    Only years that the files have records of are read, and their new records appended.
+    """
+    staged = parsed_records(readers.read_fixed_width(spark, path, run_ts=run_ts, encoding=encoding))
+    return partitions.merge_partitions(spark, table, staged.withColumn("annee", F.substring("date_deces", 1, 4)), MERGE_KEY, ["annee"])
+
+
 def cleaned(bronze_: DataFrame) -> DataFrame:
     """Cleaned text, mapped codes, no rejects, one row per person."""
     places = {c: text.strip_trailing(text.blank_to_null(text.clean_text(c))) for c in ("commune_naissance", "pays_naissance")}

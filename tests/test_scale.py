@@ -242,6 +242,8 @@ def test_exact_quantile_of_a_large_group(spark):
         got = {r.g: r.x for r in aggregates.exact_quantile(df, ["g"], "v", q, "x", values=50, bins=16).collect()}
         assert got.keys() == want.keys()
         assert all(got[k] == pytest.approx(want[k], rel=1e-12) if want[k] is not None else got[k] is None for k in want)
+    million = spark.range(1_000_000).select(F.lit(1).alias("g"), F.xxhash64("id").cast("double").alias("v"))
+    assert aggregates.exact_quantile(million, ["g"], "v", 0.5, "x").first().x == million.agg(F.median("v")).first()[0]
     assert aggregates.exact_quantile(df, [], "v", 0.5, "x", values=50).first()[0] == pytest.approx(df.agg(F.median("v")).first()[0])
     assert quantiles([1, 2, 3], n=2) == [2]
 
