@@ -172,8 +172,12 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         held.append(ends)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rid", "th", "raw")), *(_lists(x, pa.int64()) for x in out)], ["rid", "th", "raw", *_RUNS])
 
-    def named(kinds: tuple[str, ...]):
-        """The names of the windows of these kinds, in order, made anew from the text rather than kept."""
+    def named(kinds: tuple[str, ...], counted: bool = False):
+        """The names of the windows of these kinds, in order, made anew from the text rather than kept; or how often a batch has each.
+
+        Most names occur once, so that counts are merged here by batches and not by a
+        hash table of the task, which would spill.
+        """
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -187,16 +191,20 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         if len(here):
                             own[here] = Names(data[base : base + segment + length - 1], segment + length).names(p[here] - base, p[here] - base + length)
                     names.append(own.view(np.int64))
-                yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("th"), _lists(names, pa.int64())], ["rid", "th", "names"])
+                if counted:
+                    found, n = np.unique(np.concatenate([np.empty(0, np.int64), *names]), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["name", "n"])
+                else:
+                    yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("th"), _lists(names, pa.int64())], ["rid", "th", "names"])
 
-        return decided.select("rid", "th", "raw", *(f"{k}_{e}" for k in kinds for e in ("from", "to"))).mapInArrow(run, "rid long, th long, names array<long>")
+        return decided.select("rid", "th", "raw", *(f"{k}_{e}" for k in kinds for e in ("from", "to"))).mapInArrow(run, "name long, n long" if counted else "rid long, th long, names array<long>")
 
     # one row per different (id, text); equal rows share their result
     keys = staged(hits.select("rid", "th"), "keys")
     once = long_.join(broadcast_if_small(keys), ["rid", "th"], "left_semi").join(hits, ["rid", "th"]).select("rid", "th", "raw", "hits")
     decided = staged(once.mapInArrow(decide, "rid long, th long, raw binary, " + ", ".join(f"{c} array<long>" for c in _RUNS)), "decided")
     discard(hits, keys)
-    again = _again(named(("wanted", "seen")).select(F.explode("names").alias("name")))
+    again = staged(named(("wanted", "seen"), counted=True).repartition("name").groupBy("name").agg(F.sum("n").alias("c")).where("c > 1").select("name"), "names")
     more = named(("wanted",)).select("rid", "th", F.posexplode("names").alias("i", "name")).join(again, "name").groupBy("rid", "th").agg(F.collect_list("i").alias("hits"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
