@@ -52,6 +52,15 @@ def _joined(source: DataFrame, target: DataFrame, keys: Sequence[str], how: str)
     return source.join(other, reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"__t_{k}")) for k in keys)), how)
 
 
+def _near(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target's rows whose keys lie between the source's least and greatest, or are null: a filter that Parquet's statistics can use."""
+    ends = source.agg(*(f(k).alias(f"{n}_{i}") for i, k in enumerate(keys) for n, f in (("lo", F.min), ("hi", F.max)))).first()
+    for i, k in enumerate(keys):
+        if ends[f"lo_{i}"] is not None:
+            target = target.where(F.col(k).isNull() | F.col(k).between(ends[f"lo_{i}"], ends[f"hi_{i}"]))
+    return target
+
+
 def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], by: Sequence[str], how: str = "insert") -> DataFrame:
     """Merge ``source`` into the Parquet table at ``path``, partitioned by ``by``; returns counts by partition.
 
@@ -61,7 +70,8 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Se
     least by all columns counts. A second run of the same merge therefore changes nothing,
     also after a run that broke off.
 
-    Only touched partitions are read. New rows are appended to theirs, whose files stay;
+    Only touched partitions are read, and of them what may hold keys between the source's
+    least and greatest. New rows are appended to theirs, whose files stay;
     a partition is rewritten only if one of its rows is replaced. The result has
     ``by``, inserted, updated, ignored, rewritten.
     """
@@ -71,7 +81,7 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Se
     source = written(dedup(source, match), "merge-source")
     target = read_partitions(spark, path, source, by, touched(source, by))
     rest = [c for c in source.columns if c not in match]
-    held = target.select(*match, *(rest if how == "upsert" else ()), F.lit(True).alias("here"))
+    held = _near(source, target, [k for k in keys if k not in by]).select(*match, *(rest if how == "upsert" else ()), F.lit(True).alias("here"))
     same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__t_{c}")) for c in rest), F.lit(True)) if how == "upsert" else F.lit(True)
     action = F.when(F.col("__t_here").isNull(), "inserted").when(same, "ignored").otherwise("updated")
     acted = written(_joined(source, held, match, "left").withColumn("__action", action).select(*source.columns, "__action"), "merge-actions")

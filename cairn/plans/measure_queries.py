@@ -182,13 +182,14 @@ def measure_cohort_gap(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {_O}, a AS (SELECT avg(age) AS m, {_n('age >= 85')} / count(*) AS p FROM b)
     SELECT 'generation' AS contexte, gen AS groupe, round(any_value(m) - avg(age), 2) AS esperance_residuelle, round({_n('age >= 85')} / count(*) - any_value(p), 4) AS ecart_85_national, round({_n('age >= 85')} / count(*), 4) AS part_85, count(*) AS total_deces FROM b, a GROUP BY gen
     UNION ALL SELECT 'lieu', code, round(any_value(m) - avg(age), 2), round({_n('age >= 85')} / count(*) - any_value(p), 4), round({_n('age >= 85')} / count(*), 4), count(*) FROM b, a GROUP BY code
-    UNION ALL SELECT 'tout', NULL, 0.0, 0.0, round({_n('age >= 85')} / count(*), 4), count(*) FROM b, a""",
+    UNION ALL SELECT 'tout', NULL, 0.0, 0.0, round({_n('age >= 85')} / count(*), 4), count(*) FROM b, a
+    UNION ALL SELECT 'femmes', gen, round((SELECT avg(age) FROM b WHERE sexe = 'F') - avg(age), 2), round({_n('age >= 85')} / count(*) - (SELECT {_n('age >= 85')} / count(*) FROM b WHERE sexe = 'F'), 4), round({_n('age >= 85')} / count(*), 4), count(*) FROM b WHERE sexe = 'F' GROUP BY gen""",
 )
 def measures_one_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Measures by generation, by place and of all, two of them against all, from one pass over the records."""
+    """Measures by generation, by place, of all, and of women by generation, two of them against all, from one pass over the records."""
     names = ["esperance_residuelle", "ecart_85_national", "part_85", "total_deces"]
-    found = measures.evaluate(_fact(spark, sf), {"generation": (names, ["generation"]), "lieu": (names, ["code_lieu_deces"]), "tout": (names, [])})
-    key = {"generation": F.col("generation"), "lieu": F.col("code_lieu_deces"), "tout": F.lit(None).cast("string")}
+    found = measures.evaluate(_fact(spark, sf), {"generation": (names, ["generation"]), "lieu": (names, ["code_lieu_deces"]), "tout": (names, []), "femmes": (names, ["generation"], "sexe = 'F'")})
+    key = {"generation": F.col("generation"), "femmes": F.col("generation"), "lieu": F.col("code_lieu_deces"), "tout": F.lit(None).cast("string")}
     return rows.union_all([df.select(F.lit(c).alias("contexte"), key[c].alias("groupe"), *names) for c, df in found.items()])
 
 

@@ -58,37 +58,45 @@ def _against_all(name: str, expr: Callable[[], Column], combine: Callable[[Colum
     _register(name, lambda model, by=(), where=None: together(model, [name], by, where))
 
 
-def evaluate(model: Model, contexts: Mapping[str, tuple[Sequence[str], Sequence[str]]], where: Column | str | None = None) -> dict[str, DataFrame]:
-    """Measures of one table in several groupings, from one scan of its rows.
-
-    ``contexts`` maps a name to measures and the columns that they are grouped by. All
-    groupings, and the one of all rows if a measure is compared with it, are grouping sets
-    of a single aggregation, whose small result is written; each context's frame is read from it.
+def evaluate(model: Model, contexts: Mapping[str, tuple], where: Column | str | None = None) -> dict[str, DataFrame]:
+    """Measures of one table in several contexts, from one scan of its rows.
+
+    ``contexts`` maps a name to measures, the columns that they are grouped by, and
+    perhaps a filter of its own. All groupings, and those of all rows of a filter where a
+    measure is compared with them, are grouping sets of a single aggregation; a filter is
+    one more grouping column, whether it holds. The small result is written, and each
+    context's frame is read from it.
     """
-    names = list(dict.fromkeys(n for own, _ in contexts.values() for n in own))
+    names = list(dict.fromkeys(n for own, *_ in contexts.values() for n in own))
     (table,) = {(VALUES.get(n) or AGAINST[n])[0] for n in names}
-    sets = dict.fromkeys(tuple(by) for _, by in contexts.values())
-    if any(n in AGAINST for n in names):
-        sets[()] = None
-    keys = list(dict.fromkeys(k for by in sets for k in by))
     value = {n: (VALUES.get(n) or AGAINST[n])[1] for n in names}
-    rows = _rows(model, table, where)
-    if not keys:
-        pass_ = rows.agg(*(e().alias(n) for n, e in value.items()))
-    else:
-        flags = (F.grouping(k).alias(f"__all_{k}") for k in keys)
-        pass_ = rows.groupingSets([list(by) for by in sets], *keys).agg(*(e().alias(n) for n, e in value.items()), *flags)
-    found = written(pass_, "measures")
+    rows, flag = _rows(model, table, where), {}
+    for i, (context, (_, _, *own)) in enumerate(contexts.items()):
+        if own:
+            flag[context] = f"__where_{i}"
+            rows = rows.withColumn(flag[context], F.coalesce(F.expr(own[0]) if isinstance(own[0], str) else own[0], F.lit(False)))
+    sets: dict[tuple[str, ...], None] = {}
+    for context, (own, by, *_) in contexts.items():
+        mine = (flag[context],) if context in flag else ()
+        sets[(*by, *mine)] = None
+        if any(n in AGAINST for n in own):
+            sets[mine] = None
+    keys = list(dict.fromkeys(k for by in sets for k in by))
+    aggs = [e().alias(n) for n, e in value.items()]
+    done = rows.groupingSets([list(by) for by in sets], *keys).agg(*aggs, *(F.grouping(k).alias(f"__all_{k}") for k in keys)) if keys else rows.agg(*aggs)
+    found = written(done, "measures")
 
-    def of(by: Sequence[str]) -> DataFrame:
-        return found.where(F.lit(True) if not keys else reduce(lambda a, b: a & b, (F.col(f"__all_{k}") == int(k not in by) for k in keys)))
+    def of(by: Sequence[str], context: str) -> DataFrame:
+        mine = flag.get(context)
+        held = found.where(F.lit(True) if not keys else reduce(lambda a, b: a & b, (F.col(f"__all_{k}") == int(k not in by and k != mine) for k in keys)))
+        return held.where(F.col(mine)) if mine else held
 
     out = {}
-    for context, (own, by) in contexts.items():
+    for context, (own, by, *_) in contexts.items():
         against = [n for n in own if n in AGAINST]
-        held = of(by)
+        held = of(by, context)
         if against:
-            held = held.crossJoin(F.broadcast(of(()).select(*(F.col(n).alias(f"__{n}") for n in against))))
+            held = held.crossJoin(F.broadcast(of((), context).select(*(F.col(n).alias(f"__{n}") for n in against))))
         out[context] = held.select(*by, *(AGAINST[n][2](F.col(n), F.col(f"__{n}")).alias(n) if n in AGAINST else F.col(n) for n in own))
     return out
 

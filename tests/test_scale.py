@@ -56,6 +56,8 @@ def test_merge_reads_touched_partitions_only(spark, tmp_path):
     assert sorted(r[0].split("/y=")[1].split("/")[0] for r in held.select("_metadata.file_path").distinct().collect()) == sorted(["3", "7"] * (len(files(path)) // 10))
     scan = plan_of(held)
     assert "PartitionFilters" in scan and held.count() == 20
+    near = partitions._near(base.where("k in (13, 27)"), held, ["k"])
+    assert "GreaterThanOrEqual(k,13)" in plan_of(near) and near.count() == 4
     assert partitions.read_partitions(spark, str(tmp_path / "none"), base, ["y"], [(3,)]).count() == 0
     two = base.withColumn("z", (F.col("k") % 2).cast("int"))
     sinks.write_table(two, str(tmp_path / "two"), partition_by=["y", "z"])
@@ -254,13 +256,17 @@ def test_measures_from_one_scan(spark, tmp_path):
     spark.createDataFrame(data, "age_au_deces int, sexe string, generation string").write.parquet(str(tmp_path / "f"))
     fact = spark.read.parquet(str(tmp_path / "f"))
     names = ["esperance_residuelle", "ecart_85_national", "part_85"]
-    found = measures.evaluate({"fact": fact}, {"g": (names, ["generation"]), "s": (names[:1], ["sexe"]), "all": (names, [])}, "age_au_deces > 61")
+    found = measures.evaluate({"fact": fact}, {"g": (names, ["generation"]), "s": (names[:1], ["sexe"]), "all": (names, []), "f": (names, ["generation"], "sexe = 'F'"), "none": (names, ["generation"], F.col("sexe") == "X")}, "age_au_deces > 61")
     kept = [r for r in data if r[0] > 61]
     mean = lambda xs: sum(xs) / len(xs)
     for r in found["g"].collect():
         own = [a for a, _, g in kept if g == r.generation]
         assert r.esperance_residuelle == pytest.approx(mean([a for a, *_ in kept]) - mean(own), abs=0.006)
         assert r.part_85 == pytest.approx(mean([a >= 85 for a in own]), abs=1e-4)
+    women = [r for r in kept if r[1] == "F"]
+    for r in found["f"].collect():
+        assert r.esperance_residuelle == pytest.approx(mean([a for a, *_ in women]) - mean([a for a, _, g in women if g == r.generation]), abs=0.006)
+    assert found["f"].count() == len({g for *_, g in women}) and found["none"].count() == 0
     assert found["all"].first()[0] == 0 and found["s"].columns == ["sexe", "esperance_residuelle"]
     assert str(tmp_path / "f") not in plan_of(found["g"])  # the frames read the one result, not the records
 
