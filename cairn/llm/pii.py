@@ -3,9 +3,11 @@
 Generators of high recall propose spans, which may overlap. Those of the base kinds
 that pass their check are always personal data. Every candidate has features of its
 format and of what stands around it, each with a few values only. There are no labels, so
-the trees learn from weak ones that no feature holds: a checksum or range where the kind
-has one, else a word before the span that announces such data, and for assignments to
-a secret word whether the value looks random. Counts of the combinations of feature
+the trees learn from weak ones: a checksum or range where the kind has one, else a word
+before the span that announces such data, and for assignments to a secret word whether
+the value looks random. The last of these nearly follows from the feature ``mixed``, and
+where all candidates of a generator have one label the trees learn no more than the
+generator. Counts of the combinations of feature
 values are what the trees are fitted on, over one half of the texts; over the other half
 a threshold for each generator is the smallest score from which on the candidates are
 right often enough. Candidates above it are spans as well.
