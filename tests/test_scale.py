@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 from test_operators import line
 
-from cairn.operators import aggregates, joins, partitions, quality, ranges, sketches, windows
+from cairn.functions.curves import z_key
+from cairn.operators import aggregates, joins, partitions, quality, ranges, rows, sketches, windows
 from cairn.plans import gold, incremental, measures
 from cairn.sources import sinks
 from cairn.streaming import ingest
@@ -280,3 +281,21 @@ def test_zordered_files_are_skipped_by_either_column(spark, tmp_path):
     for cond in ("a < 50", "b < 50", "a > 980", "b between 500 and 520"):
         assert read("z", cond) <= 8
     assert read("c", "b < 50") == 16
+
+
+def test_positions_in_a_total_order(spark):
+    df = spark.range(5000).select("id", (F.col("id") * 7919 % 977).alias("v"))
+    got = rows.with_position(df, [F.desc("v"), "id"])
+    want = sorted(((-r.v, r.id) for r in df.collect()))
+    assert [(r.v, r.id) for r in got.orderBy("position").collect()] == [(-v, i) for v, i in want]
+    assert got.agg(F.min("position"), F.max("position"), F.count_distinct("position")).first()[:] == (1, 5000, 5000)
+    assert rows.with_position(df.limit(0), ["v"]).count() == 0
+
+
+def test_z_key_interleaves(spark):
+    df = spark.range(64).select((F.col("id") % 8).cast("int").alias("a"), F.floor(F.col("id") / 8).cast("int").alias("b"))
+    for r in df.withColumn("z", z_key([F.col("a"), F.col("b")], 3)).collect():
+        want = sum((r.a >> k & 1) << 2 * k + 1 | (r.b >> k & 1) << 2 * k for k in range(3))
+        assert r.z == want
+    with pytest.raises(ValueError):
+        z_key([F.col("a")] * 9, 8)
