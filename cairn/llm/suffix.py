@@ -38,6 +38,8 @@ from .names import Names, runs
 
 GRAM = 200
 SEGMENT = 1 << 19
+#: Names that are counted together within a task.
+COUNTED = 1 << 20
 _NO_ID = -(1 << 63)
 _POS = np.uint64((1 << 20) - 1)
 
@@ -179,6 +181,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         hash table of the task, which would spill.
         """
 
+        def counts(names: list[np.ndarray]) -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate([np.empty(0, np.int64), *names]), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["name", "n"])
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 names = []
@@ -191,9 +197,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         if len(here):
                             own[here] = Names(data[base : base + segment + length - 1], segment + length).names(p[here] - base, p[here] - base + length)
                     names.append(own.view(np.int64))
+                    if counted and sum(map(len, names)) >= COUNTED:
+                        yield counts(names)
+                        names = []
                 if counted:
-                    found, n = np.unique(np.concatenate([np.empty(0, np.int64), *names]), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["name", "n"])
+                    yield counts(names)
                 else:
                     yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("th"), _lists(names, pa.int64())], ["rid", "th", "names"])
 
