@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import passages
-from .common import broadcast_if_small, discard, staged
+from .common import batches_of, broadcast_if_small, discard, staged
 from .names import Names, runs
 
 GRAM = 200
@@ -117,6 +117,25 @@ def _again(each: DataFrame, *more: F.Column) -> DataFrame:
     return staged(each.groupBy("name").agg(F.count(F.lit(1)).alias("c"), *more).where("c > 1").drop("c"), "names")
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The names with more than one occurrence in all, from sorted rows of names and counts."""
+    held, total = None, 0  # a name may go on in the next batch
+    for b in batches:
+        name, n = (b.column(c).to_numpy(zero_copy_only=False) for c in ("name", "n"))
+        if not len(name):
+            continue
+        start = np.flatnonzero(np.append(True, name[1:] != name[:-1]))
+        found, sums = name[start], np.add.reduceat(n, start)
+        if held is not None and held == found[0]:
+            sums[0] += total
+        elif total > 1:
+            found, sums = np.append(held, found), np.append(total, sums)
+        held, total = found[-1], int(sums[-1])
+        yield pa.RecordBatch.from_arrays([pa.array(found[:-1][sums[:-1] > 1], pa.int64())], ["name"])
+    if total > 1:
+        yield pa.RecordBatch.from_arrays([pa.array([held], pa.int64())], ["name"])
+
+
 def rows_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``rid, raw, th``: id (a fixed number for none), bytes (null: empty) and their hash."""
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("rid"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("raw")).withColumn("th", F.xxhash64("raw"))
@@ -177,8 +196,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def named(kinds: tuple[str, ...], counted: bool = False):
         """The names of the windows of these kinds, in order, made anew from the text rather than kept; or how often a batch has each.
 
-        Most names occur once, so that counts are merged here by batches and not by a
-        hash table of the task, which would spill.
+        Most names occur once, so that counts are merged here, some at a time, and not by a
+        hash table of the task, which would spill; after the exchange they are sorted.
         """
 
         def counts(names: list[np.ndarray]) -> pa.RecordBatch:
@@ -212,7 +231,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     once = long_.join(broadcast_if_small(keys), ["rid", "th"], "left_semi").join(hits, ["rid", "th"]).select("rid", "th", "raw", "hits")
     decided = staged(once.mapInArrow(decide, "rid long, th long, raw binary, " + ", ".join(f"{c} array<long>" for c in _RUNS)), "decided")
     discard(hits, keys)
-    again = staged(named(("wanted", "seen"), counted=True).repartition("name").groupBy("name").agg(F.sum("n").alias("c")).where("c > 1").select("name"), "names")
+    with batches_of(docs.sparkSession, 1 << 16):
+        counts_ = named(("wanted", "seen"), counted=True).repartition("name").sortWithinPartitions("name")
+        again = staged(counts_.mapInArrow(_repeated, "name long"), "names")
     more = named(("wanted",)).select("rid", "th", F.posexplode("names").alias("i", "name")).join(again, "name").groupBy("rid", "th").agg(F.collect_list("i").alias("hits"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
