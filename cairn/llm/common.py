@@ -5,8 +5,6 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,18 +79,6 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-@contextmanager
-def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Up to so many rows in a batch handed to Python, for tables written within; its bytes stay bounded as before."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def small_batches(spark: SparkSession, rows: int = 512, size: str = "8m") -> None:
     """Hand texts to Python in batches that stay small even with long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
