@@ -246,3 +246,15 @@ def test_short_lines_are_all_linked(spark):
     found = lines.linked(lines.buckets(docs), lines.lines_of(docs, "doc_id", "text").select("node", "line").distinct())
     assert found.count() == 6000
     assert found.select("component").distinct().count() == 3000
+
+
+def test_large_sketches_are_not_broadcast(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(lines, "staged", lambda df, tag: seen.append((tag, df._jdf.queryExecution().optimizedPlan().toString())) or common.staged(df, tag))
+    docs = spark.createDataFrame([(k, f"one line of the text {k // 2} that is much like the other{'s' * (k % 2)}") for k in range(40)], "doc_id long, text string")
+    for most, hints in ((common.BROADCAST_BYTES, 1), (0, 0)):
+        monkeypatch.setattr(lines, "SKETCH_BYTES", most, raising=False)
+        seen.clear()
+        found = lines.linked(lines.buckets(docs), lines.lines_of(docs, "doc_id", "text").select("node", "line").distinct())
+        assert found.count() == 40
+        assert [plan.count("strategy=broadcast") for tag, plan in seen if tag == "line-members"] == [hints]
