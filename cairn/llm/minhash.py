@@ -3,8 +3,10 @@
 1. A document's word shingles are hashed once; the hash's leading bits name a bin
    and the least hash of each bin is kept (one permutation). Empty bins borrow from
    full ones by a fixed random probe sequence (optimal densification). Bands of bins
-   are bucket keys. Small sets use the least hashes of a prefix that two sets of the
-   wanted similarity must share, which is exact where bins would be few.
+   are bucket keys. Small sets use a prefix of their hashes that two sets of the wanted
+   similarity must share, which is exact where bins would be few. The hashes that the
+   fewest small sets hold come first, so that a passage which many unlike documents
+   share makes no bucket of them all.
 2. Documents of equal sets are one node. In a bucket every node gets one edge to the
    bucket's centre (a star), so a bucket of m nodes has m - 1 candidate edges.
    The components of these edges are families.
@@ -26,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import broadcast_if_small, discard, staged
 from .graph import components
 
 #: Sets and hashes of a block, on average.
@@ -71,7 +73,7 @@ class Shingles:
 
 
 class Keys:
-    """Bucket keys of a set of hashes for links of at least ``percent`` per cent."""
+    """Bucket keys by bands of a set of hashes, and whether the set is small enough for a prefix, for links of at least ``percent`` per cent."""
 
     def __init__(self, percent: int, bands: int, rows: int, small: int = 64, seed: int = 7) -> None:
         self.percent, self.bands, self.rows, self.small = percent, bands, rows, small
@@ -79,30 +81,30 @@ class Keys:
         self.edges = np.array([-(-(b << 64) // bins) for b in range(bins)], np.uint64)
         self.probe = np.random.default_rng(seed).integers(0, bins, (bins, 256))
 
+    def has_prefix(self, h: np.ndarray) -> bool:
+        return 0 < len(h) * self.percent <= self.small * 100
+
     def __call__(self, h: np.ndarray) -> np.ndarray:
-        n, out = len(h), []
-        if n and n * self.percent <= self.small * 100:
-            prefix = n - -(-n * self.percent // 100) + 1
-            out.append(_mix(h[:prefix] ^ np.uint64(0x5851F42D4C957F2D)))
-        if n > self.small:
-            at = np.searchsorted(h, self.edges)
-            full = at < np.append(at[1:], n)
-            sig = h[np.minimum(at, n - 1)]
-            todo = np.flatnonzero(~full)
-            for a in range(self.probe.shape[1]):
-                if not len(todo):
-                    break
-                donor = self.probe[todo, a]
-                ok = full[donor]
-                sig[todo[ok]] = sig[donor[ok]]
-                todo = todo[~ok]
-            sig[todo] = h[0]
-            sig = sig.reshape(self.bands, self.rows)
-            key = np.arange(1, self.bands + 1).astype(np.uint64)
-            for r in range(self.rows):
-                key = key * np.uint64(0x9E3779B97F4A7C15) + sig[:, r]
-            out.append(_mix(key))
-        return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
+        n = len(h)
+        if n <= self.small:
+            return np.empty(0, np.int64)
+        at = np.searchsorted(h, self.edges)
+        full = at < np.append(at[1:], n)
+        sig = h[np.minimum(at, n - 1)]
+        todo = np.flatnonzero(~full)
+        for a in range(self.probe.shape[1]):
+            if not len(todo):
+                break
+            donor = self.probe[todo, a]
+            ok = full[donor]
+            sig[todo[ok]] = sig[donor[ok]]
+            todo = todo[~ok]
+        sig[todo] = h[0]
+        sig = sig.reshape(self.bands, self.rows)
+        key = np.arange(1, self.bands + 1).astype(np.uint64)
+        for r in range(self.rows):
+            key = key * np.uint64(0x9E3779B97F4A7C15) + sig[:, r]
+        return _mix(key).view(np.int64)
 
 
 def _rid(id_col: str) -> F.Column:
@@ -113,29 +115,48 @@ def _node(h: np.ndarray) -> int:
     return int.from_bytes(xxhash.xxh3_128_digest(h.tobytes())[:8], "little", signed=True)
 
 
+def _lists(values: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values) if values else np.empty(0, np.int64), pa.int64()))
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, bands: int, rows: int) -> DataFrame:
-    """``rid, th, n, node, keys`` per document: hash of the text, size of the shingle set, its node, its bucket keys."""
+    """``rid, th, n, node, keys, few`` per document: hash of the text, size of the shingle set, its node, its bucket keys by bands, and the whole set if it is small."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, keys = Shingles(words), Keys(percent, bands, rows)
+        shingles, keys, none = Shingles(words), Keys(percent, bands, rows), np.empty(0, np.int64)
         for b in batches:
-            n, node, own = [], [], []
+            n, node, own, few = [], [], [], []
             for t in b.column("text"):
                 h = shingles(t.as_py())
                 n.append(len(h))
                 node.append(_node(h) if len(h) else None)
                 own.append(keys(h))
-            ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
-            flat = pa.array(np.concatenate(own) if own else np.empty(0, np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("th"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), flat)], ["rid", "th", "n", "node", "keys"])
+                few.append(h.view(np.int64) if keys.has_prefix(h) else none)
+            yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("th"), pa.array(n, pa.int64()), pa.array(node, pa.int64()), _lists(own), _lists(few)], ["rid", "th", "n", "node", "keys", "few"])
 
     cut = docs.select(_rid(id_col).alias("rid"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    return cut.mapInArrow(run, "rid long, th long, n long, node long, keys array<long>")
+    return cut.mapInArrow(run, "rid long, th long, n long, node long, keys array<long>, few array<long>")
+
 
+def _rare_keys(nodes: DataFrame, percent: int) -> DataFrame:
+    """``key, node``: of each small set the prefix that a similar set must share, its hashes in order of how many small sets hold them.
 
-def _star_edges(nodes: DataFrame) -> DataFrame:
+    Hashes of one set only come first and make no keys.
+    """
+    each = nodes.select("node", F.size("few").alias("n"), F.explode("few").alias("h"))
+    shared = staged(each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
+    own = each.join(shared, "h").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h")))["h"].alias("x"))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
+    left = F.greatest(prefix - (F.col("n") - F.size("x")), F.lit(0))
+    keys = staged(own.select(F.explode(F.slice("x", F.lit(1), left)).alias("h"), "node").select(F.xxhash64("h", F.lit(1)).alias("key"), "node"), "rare-keys")
+    discard(shared)
+    return keys
+
+
+def _star_edges(nodes: DataFrame, rare: DataFrame) -> DataFrame:
     """``a, b``: every node of a bucket with the bucket's centre, its least node."""
-    held = nodes.select(F.explode("keys").alias("key"), "node")
+    held = nodes.select(F.explode("keys").alias("key"), "node").unionByName(rare)
     centres = held.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("most")).where("centre <> most").select("key", "centre")
     return held.join(centres, "key").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
 
@@ -248,13 +269,14 @@ def _blocks() -> F.Column:
 
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links among ``sets`` (family, node, hashes) that give the families' exact components."""
+    """Confirmed links among ``sets`` (family, node, hashes) that give the families' exact components, as a staged table."""
     size = sets.groupBy("family").agg(_blocks().alias("nb"))
     sets = staged(sets.join(size, "family").withColumn("k", _block_of("nb")), "sets")
     j = F.when(F.col("k") == 0, F.sequence(F.lit(0), F.col("nb") - 1)).otherwise(F.array("k"))
     first = sets.select("*", F.explode(j).alias("j")).select("family", F.lit(0).alias("i"), "j", F.lit(False).alias("two"), F.when((F.col("k") == 0), 0).otherwise(1).alias("side"), "node", "hashes")
     found = staged(_confirmed(first, percent), "links")
     if sets.where("nb > 1").isEmpty():
+        discard(sets)
         return found
     comp = components(found)
     large = sets.where("nb > 1").join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -265,18 +287,24 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     rest = staged(large.join(outside, "family"), "rest")
     left = rest.where("component <> main").select("family", _block_of("nu").alias("i"), F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("j"), F.lit(True).alias("two"), F.lit(0).alias("side"), "node", "hashes")
     right = rest.select("family", F.explode(F.sequence(F.lit(0), F.col("nu") - 1)).alias("i"), F.col("k").alias("j"), F.lit(True).alias("two"), F.lit(1).alias("side"), "node", "hashes")
-    return found.unionByName(staged(_confirmed(left.unionByName(right), percent), "links"))
+    known = comp.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a <> b")
+    more = staged(known.unionByName(_confirmed(left.unionByName(right), percent)), "links")
+    discard(sets, rest, found)
+    return more
 
 
 def _linked(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, bands: int, rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The signatures, the nodes with their least id, and ``node, component`` of linked nodes."""
     sig = staged(signatures(docs, id_col, text_col, words, percent, bands, rows), "signatures")
-    nodes = staged(sig.where("n > 0").groupBy("node").agg(F.min(F.when(F.col("rid") != _NO_ID, F.col("rid"))).alias("least"), F.max("rid").alias("rid"), F.first("keys").alias("keys")), "nodes")
-    edges = staged(_star_edges(nodes), "stars")
+    nodes = staged(sig.where("n > 0").groupBy("node").agg(F.min(F.when(F.col("rid") != _NO_ID, F.col("rid"))).alias("least"), F.max("rid").alias("rid"), F.first("keys").alias("keys"), F.first("few").alias("few")), "nodes")
+    rare = _rare_keys(nodes, percent)
+    edges = staged(_star_edges(nodes, rare), "stars")
     family = staged(components(edges).withColumnRenamed("component", "family"), "families")
-    members = nodes.select("rid", "node").join(family, "node")
-    sets = _sets(docs, id_col, text_col, members.select("rid", "node"), words).join(family, "node")
-    comp = components(links(sets.select("family", "node", "hashes"), percent))
+    members = staged(nodes.select("rid", "node").join(family, "node").select("rid", "node"), "members")
+    sets = _sets(docs, id_col, text_col, broadcast_if_small(members), words).join(family, "node")
+    found = links(sets.select("family", "node", "hashes"), percent)
+    comp = components(found)
+    discard(rare, edges, family, members, found)
     return sig, nodes, comp
 
 

@@ -110,6 +110,24 @@ def test_near_duplicates(spark, block, monkeypatch):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_small_documents_with_a_common_passage(spark, monkeypatch):
+    """A passage that unlike short documents share makes no family of them all; near copies are still found."""
+    r = random.Random(8)
+    common_words = " ".join(f"p{i}" for i in range(16))
+    rows = [(n, f"{common_words} " + " ".join(f"w{r.randrange(10**6)}" for _ in range(r.randrange(20, 40)))) for n in range(200)]
+    rows += [(1000 + n, f"{t} more") for n, t in rows[:20]]
+    seen, links = [], minhash.links
+
+    def counted(sets, percent):
+        seen.append([x["count"] for x in sets.groupBy("family").count().collect()])
+        return links(sets, percent)
+
+    monkeypatch.setattr(minhash, "links", counted)
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=4, percent=80)
+    assert {x.doc_id: x.component_id for x in found.collect()} == {n: n % 1000 for n, _ in rows}
+    assert sorted(seen[0]) == [2] * 20
+
+
 @pytest.mark.parametrize("limit", [common.BROADCAST_BYTES, -1])
 def test_lines(spark, monkeypatch, limit):
     monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
