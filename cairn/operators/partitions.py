@@ -9,9 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.sources.scratch import written
-
-from .aggregates import dedup
+from cairn.sources.scratch import discard, shuffles_removed, written
 
 
 def touched(source: DataFrame, by: Sequence[str]) -> list[tuple]:
@@ -19,6 +17,12 @@ def touched(source: DataFrame, by: Sequence[str]) -> list[tuple]:
     return [tuple(r) for r in source.select(*by).distinct().collect()]
 
 
+def _ends(source: DataFrame, by: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Two rows for each partition that a source has rows for, with the least and the greatest value of each key; a written table."""
+    each = [F.struct(F.lit(True).alias("__any"), *(f(k).alias(k) for k in keys)) for f in (F.min, F.max)]
+    return written(source.groupBy(*by).agg(F.array(*each).alias("__x")).select(*by, F.explode("__x").alias("__x")).select(*by, *(F.col(f"__x.{k}").alias(k) for k in keys)), "merge-ends")
+
+
 def _in(by: Sequence[str], values: Sequence[tuple]) -> Column:
     """Whether a row lies in one of the partitions; a filter on partition columns only, so that other folders are not listed or read."""
 
@@ -71,27 +75,38 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Se
     also after a run that broke off.
 
     Only touched partitions are read, and of them what may hold keys between the source's
-    least and greatest. New rows are appended to theirs, whose files stay;
+    least and greatest. The source, which is computed twice, and the table's keys meet in
+    one aggregation, so that a record is shuffled once. New rows are appended to theirs, whose files stay;
     a partition is rewritten only if one of its rows is replaced. The result has
-    ``by``, inserted, updated, ignored, rewritten.
+    ``by``, inserted, updated, ignored, rewritten; it is written, and the merge's other
+    tables are deleted. Of ignored rows they hold the partition only.
     """
     if how not in ("insert", "upsert"):
         raise ValueError(f"how must be insert or upsert, not {how}")
     match = [*keys, *(c for c in by if c not in keys)]
-    source = written(dedup(source, match), "merge-source")
-    target = read_partitions(spark, path, source, by, touched(source, by))
+    own = [k for k in keys if k not in by]
+    ends = _ends(source, by, own)
+    target = read_partitions(spark, path, source, by, touched(ends, by))
     rest = [c for c in source.columns if c not in match]
-    held = _near(source, target, [k for k in keys if k not in by]).select(*match, *(rest if how == "upsert" else ()), F.lit(True).alias("here"))
-    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__t_{c}")) for c in rest), F.lit(True)) if how == "upsert" else F.lit(True)
-    action = F.when(F.col("__t_here").isNull(), "inserted").when(same, "ignored").otherwise("updated")
-    acted = written(_joined(source, held, match, "left").withColumn("__action", action).select(*source.columns, "__action"), "merge-actions")
+    row = F.struct(*rest, F.lit(True).alias("__any"))
+    new = source.select(*match, row.alias("__s"), F.lit(None).cast("boolean").alias("__here"))
+    held = _near(ends, target, own).select(*match, *((row.alias("__t"),) if how == "upsert" else ()), F.lit(True).alias("__here"))
+    both = new.unionByName(held, allowMissingColumns=True).groupBy(*match).agg(F.min("__s").alias("__s"), F.max("__here").alias("__here"), *((F.min("__t").alias("__t"),) if how == "upsert" else ()))
+    same = F.col("__s").eqNullSafe(F.col("__t")) if how == "upsert" else F.lit(True)
+    action = F.when(F.col("__here").isNull(), "inserted").when(same, "ignored").otherwise("updated")
+    value = lambda c: F.col(c) if c in match else F.col(f"__s.{c}")
+    joined = both.where(F.col("__s").isNotNull()).withColumn("__action", action)
+    acted = written(joined.select(*(F.col(c) if c in by else F.when(F.col("__action") != "ignored", value(c)).alias(c) for c in source.columns), "__action"), "merge-actions")
     changed = touched(acted.where("__action = 'updated'"), by)
     if changed:
         again = read_partitions(spark, path, source, by, changed)
         replaced = acted.where("__action = 'updated'").select(*match)
         kept = _joined(again, replaced, match, "left_anti")
         rows = kept.unionByName(acted.where(_in(by, changed) & F.col("__action").isin("updated", "inserted")).drop("__action"))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+        with shuffles_removed(spark):
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
     acted.where((F.col("__action") == "inserted") & ~F.coalesce(_in(by, changed), F.lit(False))).drop("__action").write.mode("append").partitionBy(*by).parquet(path)
     count = lambda a: F.count_if(F.col("__action") == a).alias(a)
-    return acted.groupBy(*by).agg(count("inserted"), count("updated"), count("ignored")).withColumn("rewritten", F.col("updated") > 0)
+    counts = written(acted.groupBy(*by).agg(count("inserted"), count("updated"), count("ignored")).withColumn("rewritten", F.col("updated") > 0), "merge-counts")
+    discard(acted, ends)
+    return counts

@@ -16,7 +16,7 @@ from cairn.plans import gold, layers, monitoring
 from cairn.plans import queries as core
 from cairn.plans.queries import _query, _t
 from cairn.sources import readers, sinks
-from cairn.sources.scratch import scratch_path
+from cairn.sources.scratch import delete, scratch_path, shuffles_removed
 from cairn.streaming import ingest
 
 RUN = "2024-05-01 00:00:00"
@@ -47,7 +47,8 @@ def _lines(spark: SparkSession, sf: str, where: str | None = None) -> DataFrame:
 
 def _written(spark: SparkSession, sf: str, where: str | None = None) -> str:
     path = scratch_path(spark, "lines")
-    _lines(spark, sf, where).write.text(path)
+    with shuffles_removed(spark):
+        _lines(spark, sf, where).write.text(path, compression="gzip")
     return path
 
 
@@ -63,7 +64,7 @@ _TYPED = f"""{_D}, t AS (SELECT DISTINCT nom, upper(prenoms) AS prenoms, sexe, C
 def scan_fixed_width(spark: SparkSession, sf: str) -> DataFrame:
     """Files of fixed-width lines written and scanned, with their lineage."""
     found = layers.parsed_records(readers.read_fixed_width(spark, _written(spark, sf), run_ts=RUN))
-    return found.groupBy("sexe").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("nom").alias("noms"), F.min("date_deces").alias("first_day"), F.max("code_lieu_deces").alias("last_code"), F.count_if(F.col("_source_fichier").endswith(".txt")).alias("with_file"), F.count_distinct("_ingestion_ts").alias("runs"))
+    return found.groupBy("sexe").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("nom").alias("noms"), F.min("date_deces").alias("first_day"), F.max("code_lieu_deces").alias("last_code"), F.count_if(F.col("_source_fichier").endswith(".txt.gz")).alias("with_file"), F.count_distinct("_ingestion_ts").alias("runs"))
 
 
 @_query(
@@ -86,7 +87,9 @@ def bronze_table(spark: SparkSession, sf: str) -> DataFrame:
     """What two deliveries of files added to a table by year."""
     table, out = scratch_path(spark, "bronze"), []
     for n, where in ((1, "k % 3 <> 0"), (2, "k % 2 = 0")):
-        counts = layers.bronze_into(spark, _written(spark, sf, where), table, run_ts=RUN)
+        lines = _written(spark, sf, where)
+        counts = layers.bronze_into(spark, lines, table, run_ts=RUN)
+        delete(spark, lines)
         out.append(counts.agg(F.lit(n).alias("livraison"), F.sum("inserted").alias("inserted"), F.sum("ignored").alias("ignored")))
     return rows.union_all(out)
 
@@ -149,7 +152,8 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     keys, by = ["nom_prenoms", "date_naissance", "date_deces", "code_lieu_deces"], {"annee": F.substring("date_deces", 1, 4)}
     folder, target, checkpoint = scratch_path(spark, "lines"), scratch_path(spark, "records"), scratch_path(spark, "progress")
     for where in ("k % 3 <> 0", "k % 2 = 0"):
-        _lines(spark, sf, where).write.mode("append").text(folder)
+        with shuffles_removed(spark):
+            _lines(spark, sf, where).write.mode("append").text(folder, compression="gzip")
         ingest.ingest_available(spark, folder, target, checkpoint, keys, by)
     ingest.ingest_available(spark, folder, target, scratch_path(spark, "progress"), keys, by)
     held = readers.read_table(spark, target, ["sexe", "_source_fichier"])

@@ -1,5 +1,6 @@
 """Operators that split whole groups and orders, and tables that deliveries change, against plain versions."""
 
+import itertools
 import os
 from statistics import quantiles
 
@@ -10,8 +11,8 @@ from test_operators import line
 
 from cairn.functions.curves import z_key
 from cairn.operators import aggregates, joins, partitions, quality, ranges, rows, sketches, windows
-from cairn.plans import gold, incremental, measures
-from cairn.sources import sinks
+from cairn.plans import gold, incremental, layer_queries, measures
+from cairn.sources import scratch, sinks
 from cairn.streaming import ingest
 
 
@@ -65,6 +66,25 @@ def test_merge_reads_touched_partitions_only(spark, tmp_path):
     assert partitions.read_partitions(spark, str(tmp_path / "two"), two, ["y", "z"], [(1, 1), (2, 0)]).agg(F.count_distinct("y", "z")).first()[0] == 2
 
 
+def test_merge_leaves_nothing_but_its_counts(spark, tmp_path, monkeypatch):
+    """Of a merge's own tables only the counts stay."""
+    monkeypatch.setattr(scratch, "scratch_path", lambda _, tag: f"file://{tmp_path}/own/{tag}-{next(number)}")
+    number = itertools.count()
+    source = spark.range(500).select("id", F.lit("v").alias("v"), (F.col("id") % 3).alias("y"))
+    for how in ("insert", "upsert"):
+        counts = partitions.merge_partitions(spark, str(tmp_path / "t"), source, ["id"], ["y"], how)
+        assert counts.agg(F.sum("inserted"), F.sum("ignored")).first() == ((500, 0) if how == "insert" else (0, 500))
+    assert {p.name.rpartition("-")[0] for p in (tmp_path / "own").iterdir()} == {"merge-counts"}
+
+
+def test_lines_are_written_compressed(spark):
+    """Files of fixed-width lines take a part of the disk that their lines have in memory."""
+    path = layer_queries._written(spark, "/root/testdata/sf0.001").removeprefix("file://")
+    assert all(f.endswith(".txt.gz") for f in os.listdir(path) if f.startswith("part-"))
+    size = sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path))
+    assert 0 < size * 3 < spark.read.text(path).agg(F.sum(F.length("value"))).first()[0]
+
+
 def test_merge_twice_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     source = spark.createDataFrame([(1, None, "a", 1), (1, None, "b", 1), (None, None, "c", 1), (2, 5, "d", 2)], "k int, j int, v string, y int")
