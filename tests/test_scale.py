@@ -225,6 +225,19 @@ def test_interval_join_of_many_brackets(spark):
     assert rows_of(a) == rows_of(b)
 
 
+def test_bracket_totals_make_no_pairs(spark):
+    """Counts and sums of brackets equal those of the join, though brackets and values have more pairs than could be made; ends and nulls included."""
+    rules = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 37 % 1009).alias("lo")).withColumn("hi", F.col("lo") + F.col("k") % 60 - 3)
+    rules = rules.unionByName(spark.createDataFrame([(-2, None, 9), (-3, 7, None)], rules.schema))
+    df = spark.range(1500).select("id", F.when(F.col("id") % 50 != 0, F.col("id") % 1200 - 20).alias("v"))
+    want = joins.bracket_join(df, "v", rules, "lo", "hi").groupBy("id").agg(F.count("k").alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("total"))
+    for rows in (100, 10**6):
+        assert rows_of(joins.bracket_totals(df, "v", rules, "lo", "hi", "k", rows=rows).select("id", "n", "total")) == rows_of(want)
+    many = spark.range(300_000).select(F.col("id").alias("k"), F.lit(0).alias("lo"), F.lit(10).alias("hi"))
+    same = spark.range(300_000).select("id", (F.col("id") % 20).alias("v"))
+    assert rows_of(joins.bracket_totals(same, "v", many, "lo", "hi", "k").groupBy("n", "total").count()) == [(0, 0, 135_000), (300_000, sum(range(300_000)), 165_000)]
+
+
 def test_interval_join_of_days_and_fractions(spark):
     days = spark.createDataFrame([(1, "2020-01-01", "2020-01-31"), (2, "2020-01-15", "2020-12-31"), (3, "2020-02-01", "2020-02-01")], "k int, lo string, hi string").withColumns({c: F.col(c).cast("date") for c in ("lo", "hi")})
     seen = spark.createDataFrame([("2020-01-20",), ("2020-02-01",), ("2021-01-01",), (None,)], "d string").withColumn("d", F.col("d").cast("date"))
