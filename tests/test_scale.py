@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from test_operators import line
 
 from cairn.functions.curves import z_key
+from cairn.llm.common import staged
 from cairn.operators import aggregates, joins, partitions, quality, ranges, rows, sketches, windows
 from cairn.plans import gold, incremental, layer_queries, measures
 from cairn.sources import scratch, sinks
@@ -77,6 +78,19 @@ def test_merge_leaves_nothing_but_its_counts(spark, tmp_path, monkeypatch):
     assert {p.name.rpartition("-")[0] for p in (tmp_path / "own").iterdir()} == {"merge-counts"}
 
 
+def test_written_tables_leave_no_shuffle_files(spark, tmp_path):
+    def shuffles():
+        return {f for _, _, fs in os.walk(spark.conf.get("spark.local.dir")) for f in fs if f.startswith("shuffle_")}
+
+    counts, before = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), shuffles()
+    for write in (scratch.written, staged):
+        write(counts, "counts")
+        assert not shuffles() - before
+    counts.write.parquet(str(tmp_path / "plain"))
+    assert shuffles() - before
+    assert spark.conf.get(scratch.CLEANUP, "false") == "false"
+
+
 def test_lines_are_written_compressed(spark):
     """Files of fixed-width lines take a part of the disk that their lines have in memory."""
     path = layer_queries._written(spark, "/root/testdata/sf0.001").removeprefix("file://")
